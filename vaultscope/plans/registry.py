@@ -15,8 +15,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..session import configure
 from ..sources.telemetry import TELEMETRY_SQL, telemetry
-from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain
-from . import query1
+from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
+from . import query1, query2, query3
 
 DIGITS = 6
 
@@ -108,3 +108,136 @@ register(
         "from t where s194 is not null group by all"
     ),
 )
+
+
+# ---------------------------------------------------------------- Query 2
+
+
+def _q2_ranked_sql(grain: Grain, k: int = 10) -> str:
+    return (
+        f"c as (select {grain.duckdb_bucket()} as w, vault_id, cast(sum(failure) as bigint) as failures "
+        "from t where failure = 1 group by all),\n"
+        "r as (select w, vault_id, failures, "
+        "cast(row_number() over (partition by w order by failures desc, vault_id) as integer) as rank "
+        f"from c qualify rank <= {k}),\n"
+        f"d as (select {grain.duckdb_bucket()} as w, vault_id, ts as event_ts, model, serial_number from t where failure = 1),\n"
+        "x as (select r.w, r.rank, r.vault_id, r.failures, "
+        "string_agg('[model=''' || d.model || ''', serialNumber=''' || d.serial_number || ''']', ', ' "
+        "order by d.event_ts, d.model, d.serial_number) as disk_details "
+        "from r join d using (w, vault_id) group by all)"
+    )
+
+
+def _q2(grain: Grain, select: str) -> str:
+    return f"with t as ({TELEMETRY_SQL}),\n{_q2_ranked_sql(grain)}\n{select}"
+
+
+for _g in GRAINS:
+    register(
+        f"q2_top10_{_g.label}",
+        lambda spark, d, g=_g: query2.top_vaults(_telemetry(spark, d), g),
+        _q2(_g, f"select {_fmt('w')} as ts, rank, vault_id, failures from r"),
+    )
+    register(
+        f"q2_top10_details_{_g.label}",
+        lambda spark, d, g=_g: query2.top_vault_details(_telemetry(spark, d), g),
+        _q2(_g, f"select {_fmt('w')} as ts, rank, vault_id, failures, disk_details from x"),
+    )
+
+register(
+    "q2_top10_disks_3days",
+    lambda spark, d: query2.top_vault_disks(_telemetry(spark, d), THREE_DAYS),
+    _q2(
+        THREE_DAYS,
+        f"select {_fmt('r.w')} as ts, r.rank, r.vault_id, r.failures, strftime(d.event_ts, '%Y-%m-%d %H:%M:%S.%f') as event_ts, "
+        "d.model, d.serial_number from r join d using (w, vault_id)",
+    ),
+)
+
+register(
+    "q2_ranking_line_3days",
+    lambda spark, d: query2.ranking_lines(_telemetry(spark, d), THREE_DAYS),
+    _q2(
+        THREE_DAYS,
+        f"select {_fmt('w')} as ts, {_fmt('w + INTERVAL 3 days')} as ts_end, "
+        f"{_fmt('w')} || ', ' || string_agg(', ' || cast(vault_id as varchar) || ', ' || cast(failures as varchar) "
+        "|| ' (' || disk_details || ')', '' order by rank) as line from x group by w",
+    ),
+)
+
+register(
+    "q2_wide_1day",
+    lambda spark, d: query2.wide_ranking(_telemetry(spark, d), DAY),
+    _q2(
+        DAY,
+        f"select {_fmt('w')} as ts, "
+        + ", ".join(
+            f"max(case when rank = {i} then vault_id end) as vault_id{i}, "
+            f"max(case when rank = {i} then failures end) as failures{i}, "
+            f"max(case when rank = {i} then disk_details end) as disk_details{i}"
+            for i in range(1, 11)
+        )
+        + " from x group by w",
+    ),
+)
+
+
+# ---------------------------------------------------------------- Query 3
+
+
+def _hazen_sql(q: float, x: str = "x") -> str:
+    h = f"greatest(0.0, least({q} * n - 0.5, n - 1))"
+    lo = f"max(case when pos = floor({h}) then {x} end)"
+    hi = f"max(case when pos = floor({h}) + 1 then {x} end)"
+    return f"({lo} + ({h} - floor({h})) * (coalesce({hi}, {lo}) - {lo}))"
+
+
+def _q3_oracle(grain: Grain, key: str = "serial_number", vaults=query3.Q3_VAULTS) -> str:
+    lo, hi = vaults
+    return _with_view(
+        f"""select {_fmt('w')} as ts, vault_id, count(*) as count, {_r('min(x)')} as min_hours,
+       {_r(_hazen_sql(0.25))} as p25_hours, {_r(_hazen_sql(0.5))} as p50_hours, {_r(_hazen_sql(0.75))} as p75_hours,
+       {_r('max(x)')} as max_hours
+from (
+  select w, vault_id, x, row_number() over (partition by w, vault_id order by x) - 1 as pos,
+         count(*) over (partition by w, vault_id) as n
+  from (
+    select {grain.duckdb_bucket()} as w, vault_id, {key} as k, s9 as x,
+           row_number() over (partition by {grain.duckdb_bucket()}, vault_id, {key} order by ts desc, s9 desc) as rn
+    from t where vault_id between {lo} and {hi} and length({key}) > 0 and s9 is not null
+  ) where rn = 1
+) group by w, vault_id, n"""
+    )
+
+
+for _g in GRAINS:
+    register(
+        f"q3_power_on_{_g.label}",
+        lambda spark, d, g=_g: query3.power_on_quantiles(_telemetry(spark, d), g),
+        _q3_oracle(_g),
+    )
+
+register(
+    "q3_power_on_3days_by_model",
+    lambda spark, d: query3.power_on_quantiles(_telemetry(spark, d), THREE_DAYS, dedup_key="model"),
+    _q3_oracle(THREE_DAYS, key="model"),
+)
+
+# AGG-12: sketch quantiles, rows-only (values are approximate by design).
+register(
+    "q3_power_on_approx_3days",
+    lambda spark, d: query3.power_on_quantiles_approx(_telemetry(spark, d), THREE_DAYS),
+)
+
+register(
+    "q3_latest_hours_1day",
+    lambda spark, d: query3.latest_hours(_telemetry(spark, d), DAY).select(
+        window_text("window.start").alias("ts"), "vault_id", "serial_number", F.col("s9").alias("latest_hours")
+    ),
+    _with_view(
+        f"select {_fmt('w')} as ts, vault_id, serial_number, {_r('x')} as latest_hours from ("
+        f"select {DAY.duckdb_bucket()} as w, vault_id, serial_number, s9 as x, row_number() over ("
+        f"partition by {DAY.duckdb_bucket()}, vault_id, serial_number order by ts desc, s9 desc) as rn "
+        "from t where vault_id between 1090 and 1120 and length(serial_number) > 0 and s9 is not null) where rn = 1"
+    ),
+)
