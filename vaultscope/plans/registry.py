@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ..functions import parse
 from ..session import configure
+from ..sources import text as text_src
 from ..sources.telemetry import TELEMETRY_SQL, telemetry
 from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
 from . import query1, query2, query3
@@ -241,3 +243,55 @@ register(
         "from t where vault_id between 1090 and 1120 and length(serial_number) > 0 and s9 is not null) where rn = 1"
     ),
 )
+
+
+# ---------------------------------------------------------------- raw lines
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_src.telemetry_lines(_telemetry(spark, sf_dir))
+
+
+def _parsed_good(spark: SparkSession, sf_dir: str, query: str, key: str = "serial_number") -> DataFrame:
+    return parse.good_records(parse.parse_lines(_lines(spark, sf_dir), query, key=key))
+
+
+def _lines_oracle(query: str, body: str, key: str = "serial_number") -> str:
+    good = "t as (select ts, vault_id, failure, model, serial_number, s194, s9 from parsed where reject_reason is null)"
+    return f"with {text_src.lines_sql()},\n{text_src.parse_sql(query, key)},\n{good}\n{body}"
+
+
+# SNK-2 projection: key = first CSV field, value = the whole line.
+register(
+    "lines_publish_keyed",
+    lambda spark, d: _lines(spark, d).select(F.split("value", ",")[0].alias("key"), "value"),
+    f"with {text_src.lines_sql()}\nselect split_part(value, ',', 1) as key, value from lines",
+)
+
+for _q in ("q1", "q2", "q3"):
+    register(
+        f"parse_rejects_{_q}",
+        lambda spark, d, q=_q: parse.parse_lines(_lines(spark, d), q)
+        .groupBy(F.coalesce("reject_reason", F.lit("ok")).alias("reject_reason"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        f"with {text_src.lines_sql()},\n{text_src.parse_sql(_q)}\n"
+        "select coalesce(reject_reason, 'ok') as reject_reason, count(*) as n from parsed group by 1",
+    )
+
+register(
+    "q1_from_lines_1day",
+    lambda spark, d: query1.temperature_stats(_parsed_good(spark, d, "q1"), DAY),
+    _lines_oracle("q1", _q1_oracle(DAY)),
+)
+
+register(
+    "q2_from_lines_3days",
+    lambda spark, d: query2.top_vault_details(_parsed_good(spark, d, "q2"), THREE_DAYS),
+    _lines_oracle("q2", f", {_q2_ranked_sql(THREE_DAYS)}\nselect {_fmt('w')} as ts, rank, vault_id, failures, disk_details from x"),
+)
+
+register(
+    "q3_from_lines_3days",
+    lambda spark, d: query3.power_on_quantiles(_parsed_good(spark, d, "q3"), THREE_DAYS),
+    _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
+)
