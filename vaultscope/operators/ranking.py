@@ -28,18 +28,20 @@ from ..session import checkpoint_dir
 def group_positions(
     df: DataFrame,
     group_cols: list[str],
-    order_col: str,
+    order_col: str | list[str],
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Adds ``_pos`` (0-based position in ascending ``order_col`` within the
     group; ties in arbitrary but consistent order) and ``_n`` (group size).
 
-    Group columns must not be NULL.
+    ``order_col`` may be a list (lexicographic order).  Group columns must not
+    be NULL.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, order_col]
+    order_cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    keys = [*group_cols, *order_cols]
     ranged = (
         df.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
@@ -51,7 +53,7 @@ def group_positions(
     per_part = ranged.groupBy("_pid", *group_cols).agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )
-    by_group = Window.partitionBy(*group_cols)
+    by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     offsets = per_part.select(
         "_pid",
         *group_cols,

@@ -18,7 +18,7 @@ from ..session import configure
 from ..sources import text as text_src
 from ..sources.telemetry import TELEMETRY_SQL, telemetry
 from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
-from . import query1, query2, query3
+from . import emission, query1, query2, query3
 
 DIGITS = 6
 
@@ -295,3 +295,50 @@ register(
     lambda spark, d: query3.power_on_quantiles(_parsed_good(spark, d, "q3"), THREE_DAYS),
     _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
 )
+
+
+# ---------------------------------------------------------------- emission metrics and gaps
+
+
+def _emission_oracle() -> str:
+    parts = []
+    for g in GRAINS:
+        b = g.duckdb_bucket()
+        parts.append(
+            f"select '{g.label}' as grain, {b} as w, vault_id, "
+            f"{b} + INTERVAL {g.size_days} days + INTERVAL 30 seconds as emitted_at from f group by all"
+        )
+    union = "\nunion all\n".join(parts)
+    return _with_view(
+        "select grain, " + _fmt("w") + " as ts, vault_id, " + _fmt("emitted_at") + " as emitted_at, n, elapsed_ms, "
+        f"{_r('n / (elapsed_ms / 1000.0)')} as rows_per_s, {_r('elapsed_ms / n')} as ms_per_row from (\n"
+        "select e.*, row_number() over (partition by grain order by emitted_at, vault_id) as n, "
+        "(epoch_us(emitted_at) // 1000) - (epoch_us(s.started_at) // 1000) as elapsed_ms from (\n"
+        f"with f as (select * from t where s194 is not null and vault_id between 1000 and 1020)\n{union}\n"
+        ") e, (select min(ts) as started_at from t where s194 is not null and vault_id between 1000 and 1020) s)"
+    )
+
+
+register(
+    "q1_emission_metrics",
+    lambda spark, d: emission.q1_emission_metrics(_telemetry(spark, d)),
+    _emission_oracle(),
+)
+
+register(
+    "publish_gaps",
+    lambda spark, d: emission.publish_gaps(_telemetry(spark, d)),
+    _with_view(
+        "select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, "
+        "coalesce((epoch_us(ts) // 1000) - (epoch_us(lag(ts) over (order by ts, event_id)) // 1000), 0) as gap_ms from t"
+    ),
+)
+
+register(
+    "vault_gaps",
+    lambda spark, d: emission.vault_gaps(_telemetry(spark, d)),
+    _with_view(
+        "select vault_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, "
+        "coalesce((epoch_us(ts) // 1000) - (epoch_us(lag(ts) over (partition by vault_id order by ts, event_id)) // 1000), 0) as gap_ms from t"
+    ),
+)
