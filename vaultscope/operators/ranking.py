@@ -32,7 +32,8 @@ def group_positions(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Adds ``_pos`` (0-based position in ascending ``order_col`` within the
-    group; ties in arbitrary but consistent order) and ``_n`` (group size).
+    group; ties in arbitrary but consistent order), ``_n`` (group size) and
+    ``_pid`` (the range partition the row was ranked in).
 
     ``order_col`` may be a list (lexicographic order).  Group columns must not
     be NULL.
@@ -65,4 +66,5 @@ def group_positions(
         *df.columns,
         (F.col("_mid") - F.col("_first") + F.col("_before")).alias("_pos"),
         "_n",
+        "_pid",
     )

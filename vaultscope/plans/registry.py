@@ -15,6 +15,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import parse
 from ..session import configure
+from ..sinks import files as file_sink
+from ..sinks import kafka as kafka_sink
 from ..sources import text as text_src
 from ..sources.telemetry import TELEMETRY_SQL, telemetry
 from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
@@ -44,8 +46,8 @@ def _r(expr: str, digits: int = DIGITS) -> str:
     return f"round(round({expr}, {digits + 3}), {digits})"
 
 
-def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry(configure(spark), sf_dir)
+def _telemetry(spark: SparkSession, sf_dir: str, vaults: tuple[int, int] | None = None) -> DataFrame:
+    return telemetry(configure(spark), sf_dir, vaults)
 
 
 def _fmt(expr: str) -> str:
@@ -83,20 +85,20 @@ def _q1_oracle(grain: Grain, vaults=query1.Q1_VAULTS, with_grain: bool = False)
 for _g in GRAINS:
     register(
         f"q1_temperature_{_g.label}",
-        lambda spark, d, g=_g: query1.temperature_stats(_telemetry(spark, d), g),
+        lambda spark, d, g=_g: query1.temperature_stats(_telemetry(spark, d, query1.Q1_VAULTS), g),
         _with_view(_q1_oracle(_g)),
     )
 
 for _g in (THREE_DAYS, ALL_TIME):
     register(
         f"q1_rollup_{_g.label}",
-        lambda spark, d, g=_g: query1.temperature_stats_rollup(_telemetry(spark, d), g),
+        lambda spark, d, g=_g: query1.temperature_stats_rollup(_telemetry(spark, d, query1.Q1_VAULTS), g),
         _with_view(_q1_oracle(_g)),
     )
 
 register(
     "q1_all_grains",
-    lambda spark, d: query1.temperature_stats_all_grains(_telemetry(spark, d)),
+    lambda spark, d: query1.temperature_stats_all_grains(_telemetry(spark, d, query1.Q1_VAULTS)),
     _with_view("\nunion all\n".join(_q1_oracle(g, with_grain=True) for g in GRAINS)),
 )
 
@@ -215,25 +217,25 @@ from (
 for _g in GRAINS:
     register(
         f"q3_power_on_{_g.label}",
-        lambda spark, d, g=_g: query3.power_on_quantiles(_telemetry(spark, d), g),
+        lambda spark, d, g=_g: query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), g),
         _q3_oracle(_g),
     )
 
 register(
     "q3_power_on_3days_by_model",
-    lambda spark, d: query3.power_on_quantiles(_telemetry(spark, d), THREE_DAYS, dedup_key="model"),
+    lambda spark, d: query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS, dedup_key="model"),
     _q3_oracle(THREE_DAYS, key="model"),
 )
 
 # AGG-12: sketch quantiles, rows-only (values are approximate by design).
 register(
     "q3_power_on_approx_3days",
-    lambda spark, d: query3.power_on_quantiles_approx(_telemetry(spark, d), THREE_DAYS),
+    lambda spark, d: query3.power_on_quantiles_approx(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS),
 )
 
 register(
     "q3_latest_hours_1day",
-    lambda spark, d: query3.latest_hours(_telemetry(spark, d), DAY).select(
+    lambda spark, d: query3.latest_hours(_telemetry(spark, d, query3.Q3_VAULTS), DAY).select(
         window_text("window.start").alias("ts"), "vault_id", "serial_number", F.col("s9").alias("latest_hours")
     ),
     _with_view(
@@ -321,7 +323,7 @@ def _emission_oracle() -> str:
 
 register(
     "q1_emission_metrics",
-    lambda spark, d: emission.q1_emission_metrics(_telemetry(spark, d)),
+    lambda spark, d: emission.q1_emission_metrics(_telemetry(spark, d, query1.Q1_VAULTS)),
     _emission_oracle(),
 )
 
@@ -342,3 +344,33 @@ register(
         "coalesce((epoch_us(ts) // 1000) - (epoch_us(lag(ts) over (partition by vault_id order by ts, event_id)) // 1000), 0) as gap_ms from t"
     ),
 )
+
+
+# ---------------------------------------------------------------- messages (sink text and consumer parse)
+
+
+def _q1_messages(spark: SparkSession, d: str) -> DataFrame:
+    res = round_doubles(query1.temperature_stats(_telemetry(spark, d, query1.Q1_VAULTS), DAY))
+    return kafka_sink.as_messages(res, kafka_sink.topic_name("query1", DAY.label))
+
+
+_Q1_MSG_SQL = (
+    f"select 'query1-1day' as topic, '(' || ts || ',' || cast(vault_id as varchar) || ',' || cast(count as varchar) "
+    "|| ',' || cast(mean_s194 as varchar) || ',' || cast(stddev_s194 as varchar) || ')' as value "
+    f"from ({_q1_oracle(DAY)})"
+)
+
+register("q1_messages_1day", _q1_messages, _with_view(_Q1_MSG_SQL))
+
+register(
+    "q1_consumer_columns_1day",
+    lambda spark, d: file_sink.message_columns(_q1_messages(spark, d), 5, list(query1.Q1_COLUMNS)),
+    _with_view(
+        "select topic, "
+        + ", ".join(
+            f"string_split(replace(replace(replace(value, '(', ''), ')', ''), '\"', ''), ',')[{i + 1}] as {c}"
+            for i, c in enumerate(query1.Q1_COLUMNS)
+        )
+        + f" from ({_Q1_MSG_SQL})"
+    ),
+)

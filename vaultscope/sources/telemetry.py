@@ -45,8 +45,15 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(read_table(spark, sf_dir, "events"))
+def telemetry(spark: SparkSession, sf_dir: str, vaults: tuple[int, int] | None = None) -> DataFrame:
+    """Telemetry records; ``vaults`` (inclusive range) is applied to the raw
+    ``user_id`` so that it reaches the Parquet scan as a pushed filter (a
+    predicate on the derived ``vault_id`` cannot be pushed)."""
+    events = read_table(spark, sf_dir, "events")
+    if vaults is not None:
+        lo, hi = vaults
+        events = events.where(F.col("user_id").between(lo - 1000, hi - 1000))
+    return telemetry_from_events(events)
 
 
 # The same view for DuckDB oracles (tables are pre-registered views there).
