@@ -1,0 +1,21 @@
+"""Input parallelism for CPU-heavy per-row work (printing, parsing).
+
+A large input arrives in many splits and needs nothing.  A small input held in
+one file with one row group is read by a single task, and everything narrow
+after the scan (the line parser) then runs on one core.  ``spread`` adds a
+round-robin exchange only in that case, sized to the session's parallelism.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``df`` unchanged when it already has at least ``min_partitions`` input
+    partitions (default: the context's default parallelism), else
+    ``df.repartition(min_partitions)``."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

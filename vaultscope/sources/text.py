@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .splits import spread
 from .telemetry import TELEMETRY_SQL
 
 # How a broken line is broken, by kind.
@@ -31,8 +32,9 @@ BREAK_EVERY = 97
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-5 batch: one row per line (``value``); the parser drops headers."""
-    return spark.read.text(path)
+    """SRC-5 batch: one row per line (``value``); the parser drops headers.
+    Few large files are spread over the cluster before parsing."""
+    return spread(spark.read.text(path))
 
 
 def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -44,7 +46,9 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def telemetry_lines(telemetry: DataFrame, break_every: int = BREAK_EVERY) -> DataFrame:
-    """``value``: one CSV line per telemetry record (narrow projection)."""
+    """``value``: one CSV line per telemetry record (narrow projection, after
+    :func:`~vaultscope.sources.splits.spread`)."""
+    telemetry = spread(telemetry)
     eid = F.col("event_id")
     broken = (eid % break_every) == 0
     kind = F.floor(eid / break_every) % len(BREAK_KINDS)
@@ -71,7 +75,10 @@ def telemetry_lines(telemetry: DataFrame, break_every: int = BREAK_EVERY) -> Dat
     full = F.concat(*_join_sparse(fields, F.lit))
     # first 20 fields of the line
     short = F.substring_index(full, ",", 20)
-    return telemetry.select(F.when(broken & (kind == 0), short).otherwise(full).alias("value"))
+    line = F.when(broken & (kind == 0), short).otherwise(full)
+    # ``inline`` keeps the parser's header filter from being pushed below this
+    # projection, which would render every line twice
+    return telemetry.select(F.inline(F.array(F.struct(line.alias("value")))))
 
 
 def _join_sparse(fields: dict, lit) -> list:
