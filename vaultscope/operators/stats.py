@@ -103,10 +103,45 @@ def rollup_partials(partials: DataFrame, coarse: Grain, key: str = "vault_id") -
     ).withColumnRenamed("cwindow", "window")
 
 
-def partials_to_stats(partials: DataFrame, value: str = "s194", key: str = "vault_id") -> DataFrame:
-    """(window, key, n, sum, m2) -> (window, key, count, mean_<value>, stddev_<value>)."""
+def rollup_partials_multi(partials: DataFrame, grains, key: str = "vault_id") -> DataFrame:
+    """Merge finer partials into several coarser grains in one pass.
+
+    Each fine row is expanded into its window of every grain (a narrow
+    ``explode`` of a fixed-size array), then all grains merge together under
+    one partitioning on (grain, window, key).  The finest grain itself passes
+    through unchanged (merging one partial adds exactly 0 to m2).  Output:
+    grain, window, key, n, sum, m2.
+    """
+    expanded = partials.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(g.label).alias("grain"), g.window_of(F.col("window.start")).alias("cwindow")) for g in grains])
+        ).alias("g"),
+        F.col(key),
+        "n",
+        "sum",
+        "m2",
+    ).select("g.grain", "g.cwindow", key, "n", "sum", "m2")
+    grp = ["grain", "cwindow", key]
+    w = Window.partitionBy(*grp)
+    n = F.col("n")
+    return (
+        expanded.select("*", (F.sum("sum").over(w) / F.sum("n").over(w)).alias("M"))
+        .groupBy(*grp)
+        .agg(
+            F.sum(n).alias("n"),
+            F.sum("sum").alias("sum"),
+            (F.sum("m2") + F.sum(n * (F.col("sum") / n - F.col("M")) ** 2)).alias("m2"),
+        )
+        .withColumnRenamed("cwindow", "window")
+    )
+
+
+def partials_to_stats(partials: DataFrame, value: str = "s194", key: str = "vault_id", keep=()) -> DataFrame:
+    """(window, key, n, sum, m2) -> (window, key, count, mean_<value>, stddev_<value>),
+    after the ``keep`` columns."""
     n = F.col("n")
     return partials.select(
+        *keep,
         "window",
         F.col(key),
         n.alias("count"),

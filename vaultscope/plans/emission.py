@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.gaps import time_gaps
 from ..operators.metrics import emission_metrics
-from ..operators.stats import window_stats
+from ..operators.stats import rollup_partials_multi, window_partials
 from ..windows import GRAINS, window_text
 from .query1 import select_q1
 
@@ -19,17 +19,15 @@ WATERMARK_DELAY_S = 30
 
 
 def q1_emissions(records: DataFrame, grains=GRAINS, delay_s: int = WATERMARK_DELAY_S) -> DataFrame:
-    """grain, ts, vault_id, emitted_at: one row per Query 1 result row."""
-    out = None
-    for g in grains:
-        part = window_stats(select_q1(records), g).select(
-            F.lit(g.label).alias("grain"),
-            window_text("window.start").alias("ts"),
-            "vault_id",
-            (F.col("window.end") + F.make_interval(secs=F.lit(delay_s))).alias("emitted_at"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    """grain, ts, vault_id, emitted_at: one row per Query 1 result row (all
+    grains from one scan, as in :func:`~vaultscope.plans.query1.temperature_stats_all_grains`)."""
+    parts = rollup_partials_multi(window_partials(select_q1(records), grains[0]), grains)
+    return parts.select(
+        "grain",
+        window_text("window.start").alias("ts"),
+        "vault_id",
+        (F.col("window.end") + F.make_interval(secs=F.lit(delay_s))).alias("emitted_at"),
+    )
 
 
 def q1_emission_metrics(records: DataFrame, grains=GRAINS, delay_s: int = WATERMARK_DELAY_S) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stats import partials_to_stats, rollup_partials, window_partials, window_stats
+from ..operators.stats import partials_to_stats, rollup_partials, rollup_partials_multi, window_partials, window_stats
 from ..windows import DAY, GRAINS, Grain, window_text
 
 # The vault range of Query 1 (inclusive).
@@ -53,15 +53,16 @@ def temperature_stats_rollup(records: DataFrame, coarse: Grain, fine: Grain = DA
 
 
 def temperature_stats_all_grains(records: DataFrame, vaults=Q1_VAULTS, grains=GRAINS) -> DataFrame:
-    """SET-2: one scan, day partials once, every grain rolled up from them.
+    """SET-2: one scan, day partials once, every grain merged from them in one
+    pass (:func:`~vaultscope.operators.stats.rollup_partials_multi`).
 
     Output: grain, ts, vault_id, count, mean_s194, stddev_s194.
     """
     finest = grains[0]
-    parts = window_partials(select_q1(records, vaults), finest)
-    out = None
-    for g in grains:
-        p = parts if g == finest else rollup_partials(parts, g)
-        part = _finish(partials_to_stats(p)).select(F.lit(g.label).alias("grain"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    if not all(g.contains(finest) for g in grains):
+        raise ValueError("every grain must contain whole windows of the first")
+    parts = rollup_partials_multi(window_partials(select_q1(records, vaults), finest), grains)
+    stats = partials_to_stats(parts, keep=("grain",))
+    return stats.select(
+        "grain", window_text("window.start").alias("ts"), "vault_id", "count", "mean_s194", "stddev_s194"
+    )

@@ -35,6 +35,17 @@ class Grain:
             return F.window(ts, self.size, self.size, self.offset)
         return F.window(ts, self.size)
 
+    def window_of(self, ts: str | Column) -> Column:
+        """The same ``struct<start,end>`` as :meth:`window`, by arithmetic on
+        epoch microseconds.  Usable where Spark refuses a second ``window()``
+        in one projection (e.g. mapping a fine window start to several grains)."""
+        c = F.col(ts) if isinstance(ts, str) else ts
+        size = self.size_days * 86_400_000_000
+        off = self.offset_days * 86_400_000_000
+        us = F.unix_micros(c)
+        start = us - F.pmod(us - F.lit(off), F.lit(size))
+        return F.struct(F.timestamp_micros(start).alias("start"), F.timestamp_micros(start + F.lit(size)).alias("end"))
+
     def contains(self, finer: "Grain") -> bool:
         """True if every window of ``finer`` lies inside one window of self,
         which makes a roll-up of finer partial results exact."""
