@@ -46,8 +46,8 @@ def emission_metrics(
         *emitted.columns,
         n.alias("n"),
         elapsed_ms.alias("elapsed_ms"),
-        (n / (elapsed_ms / 1000.0)).alias("rows_per_s"),
-        (elapsed_ms / n).alias("ms_per_row"),
+        F.try_divide(n, elapsed_ms / 1000.0).alias("rows_per_s"),
+        F.try_divide(elapsed_ms, n).alias("ms_per_row"),
     )
 
 

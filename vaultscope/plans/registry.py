@@ -374,3 +374,23 @@ register(
         + f" from ({_Q1_MSG_SQL})"
     ),
 )
+
+
+# ---------------------------------------------------------------- CSV headers (SNK-5)
+
+register(
+    "q1_csv_1day",
+    lambda spark, d: file_sink.with_reference_header(
+        query1.temperature_stats(_telemetry(spark, d, query1.Q1_VAULTS), DAY), "query1-1day"
+    ),
+    _with_view(_q1_oracle(DAY)),
+)
+
+register(
+    "q3_csv_3days",
+    lambda spark, d: file_sink.with_reference_header(
+        query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS), "query3-3days"
+    ),
+    "select ts, vault_id as vault_id1, count, min_hours as min, p25_hours as \"25perc\", p50_hours as \"50perc\", "
+    "p75_hours as \"75perc\", max_hours as max from (" + _q3_oracle(THREE_DAYS) + ")",
+)

@@ -24,6 +24,16 @@ def header_for(topic: str) -> list[str] | None:
     return None
 
 
+def with_reference_header(result: DataFrame, topic: str) -> DataFrame:
+    """SNK-5: rename a Query 1 or Query 3 result positionally to the column
+    names of the reference's CSV header for ``topic`` (Query 2's header is
+    ragged text and has no column form; use the wide ranking instead)."""
+    names = header_for(topic)
+    if names is None or len(names) != len(result.columns):
+        raise ValueError(f"no {len(result.columns)}-column header for topic {topic!r}")
+    return result.select(*[F.col(c).alias(n) for c, n in zip(result.columns, names)])
+
+
 def message_columns(messages: DataFrame, n: int, names: list[str] | None = None) -> DataFrame:
     """FN-7 + FN-8: strip ``()"`` and split on ``,`` into ``n`` string columns."""
     parts = split_fields(strip_chars("value"))

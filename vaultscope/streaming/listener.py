@@ -65,8 +65,8 @@ class EmissionListener(StreamingQueryListener):
         return df.select(
             "*",
             n.alias("n"),
-            (n / (F.col("elapsed_ms") / 1000.0)).alias("rows_per_s"),
-            (F.col("elapsed_ms") / n).alias("ms_per_row"),
+            F.try_divide(n, F.col("elapsed_ms") / 1000.0).alias("rows_per_s"),
+            F.try_divide(F.col("elapsed_ms"), n).alias("ms_per_row"),
         )
 
 
