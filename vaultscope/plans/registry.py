@@ -18,7 +18,7 @@ from ..session import configure
 from ..sinks import files as file_sink
 from ..sinks import kafka as kafka_sink
 from ..sources import text as text_src
-from ..sources.telemetry import TELEMETRY_SQL, telemetry
+from ..sources.telemetry import LINEITEM_SQL, TELEMETRY_SQL, lineitem_telemetry, telemetry
 from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
 from . import emission, query1, query2, query3
 
@@ -197,7 +197,7 @@ def _hazen_sql(q: float, x: str = "x") -> str:
 
 
 def _q3_oracle(grain: Grain, key: str = "serial_number", vaults=query3.Q3_VAULTS) -> str:
-    lo, hi = vaults
+    vault_pred = f"vault_id between {vaults[0]} and {vaults[1]} and " if vaults else ""
     return _with_view(
         f"""select {_fmt('w')} as ts, vault_id, count(*) as count, {_r('min(x)')} as min_hours,
        {_r(_hazen_sql(0.25))} as p25_hours, {_r(_hazen_sql(0.5))} as p50_hours, {_r(_hazen_sql(0.75))} as p75_hours,
@@ -208,7 +208,7 @@ from (
   from (
     select {grain.duckdb_bucket()} as w, vault_id, {key} as k, s9 as x,
            row_number() over (partition by {grain.duckdb_bucket()}, vault_id, {key} order by ts desc, s9 desc) as rn
-    from t where vault_id between {lo} and {hi} and length({key}) > 0 and s9 is not null
+    from t where {vault_pred}length({key}) > 0 and s9 is not null
   ) where rn = 1
 ) group by w, vault_id, n"""
     )
@@ -311,13 +311,14 @@ def _emission_oracle() -> str:
             f"{b} + INTERVAL {g.size_days} days + INTERVAL 30 seconds as emitted_at from f group by all"
         )
     union = "\nunion all\n".join(parts)
+    kept = "from t where s194 is not null and vault_id between 1000 and 1020"
     return _with_view(
         "select grain, " + _fmt("w") + " as ts, vault_id, " + _fmt("emitted_at") + " as emitted_at, n, elapsed_ms, "
         f"{_r('n / (elapsed_ms / 1000.0)')} as rows_per_s, {_r('elapsed_ms / n')} as ms_per_row from (\n"
         "select e.*, row_number() over (partition by grain order by emitted_at, vault_id) as n, "
-        "(epoch_us(emitted_at) // 1000) - (epoch_us(s.started_at) // 1000) as elapsed_ms from (\n"
-        f"with f as (select * from t where s194 is not null and vault_id between 1000 and 1020)\n{union}\n"
-        ") e, (select min(ts) as started_at from t where s194 is not null and vault_id between 1000 and 1020) s)"
+        f"(epoch_us(emitted_at) // 1000) - (select epoch_us(min(ts)) // 1000 {kept}) as elapsed_ms from (\n"
+        f"with f as (select * {kept})\n{union}\n"
+        ") e)"
     )
 
 
@@ -394,3 +395,41 @@ register(
     "select ts, vault_id as vault_id1, count, min_hours as min, p25_hours as \"25perc\", p50_hours as \"50perc\", "
     "p75_hours as \"75perc\", max_hours as max from (" + _q3_oracle(THREE_DAYS) + ")",
 )
+
+
+# ---------------------------------------------------------------- the same operators over lineitem
+
+
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineitem_telemetry(configure(spark), sf_dir)
+
+
+def _with_lineitem(body: str) -> str:
+    return f"with t as ({LINEITEM_SQL})\n{body}"
+
+
+register(
+    "q1_lineitem_all_grains",
+    lambda spark, d: query1.temperature_stats_all_grains(_lineitem(spark, d), vaults=None),
+    _with_lineitem(
+        "\nunion all\n".join(
+            f"select '{g.label}' as grain, {_fmt(g.duckdb_bucket())} as ts, vault_id, count(*) as count, "
+            f"{_r('avg(s194)')} as mean_s194, {_r('coalesce(stddev_samp(s194), 0.0)')} as stddev_s194 "
+            "from t where s194 is not null group by all"
+            for g in GRAINS
+        )
+    ),
+)
+
+register(
+    "q2_lineitem_top10_3days",
+    lambda spark, d: query2.top_vaults(_lineitem(spark, d), THREE_DAYS),
+    f"with t as ({LINEITEM_SQL}),\n{_q2_ranked_sql(THREE_DAYS)}\n"
+    f"select {_fmt('w')} as ts, rank, vault_id, failures from r",
+)
+
+register(
+    "q3_lineitem_quantiles_alltime",
+    lambda spark, d: query3.power_on_quantiles(_lineitem(spark, d), ALL_TIME, vaults=None),
+    _q3_oracle(ALL_TIME, vaults=None).replace(f"with t as ({TELEMETRY_SQL})", f"with t as ({LINEITEM_SQL})"),
+)

@@ -68,3 +68,40 @@ select event_id,
        cast((event_id * 7919) % 90000 as double) as s9
 from events
 """.strip()
+
+
+def telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
+    """The same record columns over ``lineitem``, a wider and higher-cardinality
+    input for the same operators:
+
+    ts = ship date (midnight UTC), vault_id = supplier, failure = returned
+    (``l_returnflag = 'R'``), model = return flag, serial_number = ``'P' || part``,
+    s194 = extended price, s9 = quantity, event_id = order * 8 + line number.
+    """
+    return lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("event_id"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.col("l_suppkey").cast("int").alias("vault_id"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("failure"),
+        F.col("l_returnflag").alias("model"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("serial_number"),
+        F.col("l_extendedprice").alias("s194"),
+        F.col("l_quantity").alias("s9"),
+    )
+
+
+def lineitem_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+
+
+LINEITEM_SQL = """
+select l_orderkey * 8 + l_linenumber as event_id,
+       l_shipdate as ts,
+       cast(l_suppkey as integer) as vault_id,
+       case when l_returnflag = 'R' then 1 else 0 end as failure,
+       l_returnflag as model,
+       concat('P', cast(l_partkey as varchar)) as serial_number,
+       l_extendedprice as s194,
+       l_quantity as s9
+from lineitem
+""".strip()
