@@ -65,6 +65,29 @@ def test_q2_stream_equals_batch(spark, line_dir, scratch):
     base, lines, closing = line_dir
     src = _stream_dir(spark, base, closing, "q2")
     out = run_to_table(spark, sq.q2_stream(read_lines_stream(spark, src), THREE_DAYS), os.path.join(scratch, "ck"), "q2s")
+    batch = query2.top_vaults(parse.good_records(parse.parse_lines(lines, "q2")), THREE_DAYS)
+    assert out.count() > 0
+    assert _rows(out.select(*batch.columns)) == _rows(batch)
+
+
+def test_q2_details_foreach_batch_equals_batch(spark, line_dir, scratch):
+    base, lines, closing = line_dir
+    src = _stream_dir(spark, base, closing, "q2d")
+    out_dir = os.path.join(scratch, "q2d_out")
+
+    def write(df, _batch_id):
+        df.write.mode("append").parquet(out_dir)
+
+    q = (
+        sq.q2_failures_stream(read_lines_stream(spark, src), THREE_DAYS)
+        .writeStream.outputMode("append")
+        .foreachBatch(sq.q2_details_batch_writer(write))
+        .option("checkpointLocation", os.path.join(scratch, "ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(out_dir)
     batch = query2.top_vault_details(parse.good_records(parse.parse_lines(lines, "q2")), THREE_DAYS)
     assert out.count() > 0
     assert _rows(out.select(*batch.columns)) == _rows(batch)

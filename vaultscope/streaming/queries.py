@@ -8,9 +8,11 @@ the state store.
 
 * Query 1: one windowed aggregation (same code as batch).
 * Query 2: two chained windowed aggregations linked by ``window_time``: per
-  (window, vault) failure count and disks, then per window the top k from a
-  sorted array of (-failures, vault) structs.  Streaming refuses ``row_number``;
-  the second state holds one entry per failing vault of a window.
+  (window, vault) failure count, then per window the top k from a sorted array
+  of (-failures, vault) structs (streaming refuses ``row_number``; the second
+  state holds one pair per failing vault of a window).  The detailed form with
+  disks keeps the disks in the first stage only and ranks each micro-batch of
+  closed (window, vault) rows in ``foreachBatch`` with the batch operators.
 * Query 3: (window, vault, key) -> latest hours, then (window, vault) -> sorted
   array of the latest values -> Hazen quantiles.  The second state holds one
   value per key of a vault-window; ``approx=True`` keeps a bounded
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..functions.text import disk_text
-from ..operators.failures import failed
+from ..operators.failures import failed, rank_top_k
 from ..operators.quantiles import QUANTILES, hazen_columns
 from ..plans.query1 import Q1_VAULTS, temperature_stats
 from ..plans.query2 import TOP_K
@@ -45,34 +47,59 @@ def q1_stream(lines: DataFrame, grain: Grain = DAY, vaults=Q1_VAULTS, watermark:
     return temperature_stats(parsed_stream(lines, "q1", watermark=watermark), grain, vaults)
 
 
-def q2_stream(lines: DataFrame, grain: Grain = DAY, k: int = TOP_K, watermark: str = WATERMARK) -> DataFrame:
-    """ts, rank, vault_id, failures, disk_details per closed window (TOP-1)."""
+def q2_failures_stream(lines: DataFrame, grain: Grain = DAY, watermark: str = WATERMARK, disks: bool = True) -> DataFrame:
+    """First stage of Query 2: window, vault_id, failures[, disks] per closed
+    (window, vault).  ``disks`` (the failed disks of the vault-window, the
+    content of the detailed output) is kept only when asked for."""
     recs = failed(parsed_stream(lines, "q2", watermark=watermark))
-    per_vault = recs.groupBy(grain.window("ts").alias("window"), "vault_id").agg(
-        F.sum("failure").cast("long").alias("failures"),
-        F.collect_list(F.struct(F.col("ts").alias("event_ts"), "model", "serial_number")).alias("disks"),
-    )
+    aggs = [F.sum("failure").cast("long").alias("failures")]
+    if disks:
+        aggs.append(F.collect_list(F.struct(F.col("ts").alias("event_ts"), "model", "serial_number")).alias("disks"))
+    return recs.groupBy(grain.window("ts").alias("window"), "vault_id").agg(*aggs)
+
+
+def q2_stream(lines: DataFrame, grain: Grain = DAY, k: int = TOP_K, watermark: str = WATERMARK) -> DataFrame:
+    """ts, rank, vault_id, failures per closed window (TOP-1): two chained
+    windowed aggregations; the second keeps one (failures, vault) pair per
+    failing vault of a window and emits the first k of their sorted array."""
+    per_vault = q2_failures_stream(lines, grain, watermark, disks=False)
     per_window = per_vault.groupBy(grain.window(F.window_time("window")).alias("window")).agg(
-        F.slice(
-            F.array_sort(
-                F.collect_list(F.struct((-F.col("failures")).alias("neg"), "vault_id", "failures", "disks"))
-            ),
-            1,
-            k,
-        ).alias("top")
+        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("failures")).alias("neg"), "vault_id"))), 1, k).alias("top")
     )
     ranked = per_window.select("window", F.posexplode("top").alias("pos", "r"))
     return ranked.select(
         window_text("window.start").alias("ts"),
         (F.col("pos") + 1).cast("int").alias("rank"),
         F.col("r.vault_id").alias("vault_id"),
-        F.col("r.failures").alias("failures"),
+        (-F.col("r.neg")).alias("failures"),
+    )
+
+
+def rank_closed_windows(per_vault: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Batch ranking of first-stage rows (one micro-batch holds every vault of
+    the windows it closes): ts, rank, vault_id, failures, disk_details."""
+    ranked = rank_top_k(per_vault, k)
+    return ranked.select(
+        window_text("window.start").alias("ts"),
+        "rank",
+        "vault_id",
+        "failures",
         F.array_join(
-            F.transform(F.array_sort(F.col("r.disks")), lambda d: disk_text(d["model"], d["serial_number"])), ", "
+            F.transform(F.array_sort(F.col("disks")), lambda d: disk_text(d["model"], d["serial_number"])), ", "
         ).alias("disk_details"),
     )
 
 
+def q2_details_batch_writer(write, k: int = TOP_K):
+    """``foreachBatch`` function: rank the closed windows of a micro-batch and
+    hand the detailed rows to ``write(df, batch_id)``."""
+
+    def _each(batch: DataFrame, batch_id: int) -> None:
+        write(rank_closed_windows(batch, k), batch_id)
+
+    return _each
+
+
 def q3_stream(
     lines: DataFrame,
     grain: Grain = DAY,
