@@ -154,3 +154,24 @@ def test_late_row_dropped(spark, scratch):
     rows = {r.ts: (r["count"], r.mean_s194) for r in spark.table("late_q1").collect()}
     assert rows["2024-01-01 00:00:00"] == (1, 20.0)
     assert dropped >= 1
+
+
+def test_rocksdb_state_store_equals_batch(spark, line_dir, scratch):
+    """The same stream on the RocksDB state store (the setting for scale)."""
+    from vaultscope.session import configure_streaming
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    configure_streaming(spark)
+    try:
+        base, lines, closing = line_dir
+        src = _stream_dir(spark, base, closing, "q1_rocks")
+        out = run_to_table(spark, sq.q1_stream(read_lines_stream(spark, src), THREE_DAYS), os.path.join(scratch, "ck"), "q1_rocks")
+        batch = query1.temperature_stats(parse.good_records(parse.parse_lines(lines, "q1")), THREE_DAYS)
+        assert "RocksDB" in spark.conf.get(key)
+        assert _rows(out) == _rows(batch)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
