@@ -18,6 +18,8 @@ from ..session import configure
 from ..sinks import files as file_sink
 from ..sinks import kafka as kafka_sink
 from ..sources import text as text_src
+from ..streaming import queries as sq
+from ..streaming import run as stream_run
 from ..sources.telemetry import LINEITEM_SQL, TELEMETRY_SQL, lineitem_telemetry, telemetry
 from ..windows import ALL_TIME, DAY, GRAINS, THREE_DAYS, Grain, window_text
 from . import emission, query1, query2, query3
@@ -433,3 +435,27 @@ register(
     lambda spark, d: query3.power_on_quantiles(_lineitem(spark, d), ALL_TIME, vaults=None),
     _q3_oracle(ALL_TIME, vaults=None).replace(f"with t as ({TELEMETRY_SQL})", f"with t as ({LINEITEM_SQL})"),
 )
+
+
+# ---------------------------------------------------------------- streaming forms (stream = batch)
+# Each runs the Structured Streaming query over the rendered lines (plus
+# closing lines) with availableNow into a Parquet sink in the shared checkpoint
+# folder; the oracle is the batch SQL over the same lines.
+
+register(
+    "stream_q1_1day",
+    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q1_stream(s, DAY), "q1"),
+    _lines_oracle("q1", _q1_oracle(DAY)),
+)
+
+register(
+    "stream_q2_top10_3days",
+    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q2_stream(s, THREE_DAYS), "q2"),
+    _lines_oracle("q2", f", {_q2_ranked_sql(THREE_DAYS)}\nselect {_fmt('w')} as ts, rank, vault_id, failures from r"),
+)
+
+register(
+    "stream_q3_3days",
+    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q3_stream(s, THREE_DAYS), "q3"),
+    _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
+)

@@ -100,3 +100,36 @@ def run_to_table(spark: SparkSession, df: DataFrame, checkpoint: str, name: str)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.table(name)
+
+
+def shared_scratch(spark: SparkSession, name: str) -> str:
+    """A new folder under the session's shared checkpoint folder (never a
+    machine-local temporary folder)."""
+    import uuid
+
+    from ..session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/vaultscope-{name}-{uuid.uuid4().hex}"
+
+
+def run_to_parquet(spark: SparkSession, df: DataFrame, base: str) -> DataFrame:
+    """Run a streaming DataFrame to completion into a Parquet file sink under
+    ``base`` (append mode, checkpointed) and return the sink as a batch table."""
+    path = f"{base}/out"
+    q = start_available_now(df, f"{base}/checkpoint", "parquet", path=path)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stream_over_lines(spark: SparkSession, lines: DataFrame, build, name: str) -> DataFrame:
+    """Write ``lines`` and their closing lines as text files under a shared
+    folder, run ``build(streaming lines)`` over them with ``availableNow`` and
+    return the emitted rows."""
+    from ..sources.text import read_lines_stream
+
+    base = shared_scratch(spark, name)
+    lines.write.text(f"{base}/in/data")
+    closing_lines_for(lines).coalesce(1).write.text(f"{base}/in/zz-closing")
+    return run_to_parquet(spark, build(read_lines_stream(spark, f"{base}/in/*")), base)
