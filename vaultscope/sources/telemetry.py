@@ -45,14 +45,20 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def telemetry(spark: SparkSession, sf_dir: str, vaults: tuple[int, int] | None = None) -> DataFrame:
-    """Telemetry records; ``vaults`` (inclusive range) is applied to the raw
-    ``user_id`` so that it reaches the Parquet scan as a pushed filter (a
-    predicate on the derived ``vault_id`` cannot be pushed)."""
+def telemetry(
+    spark: SparkSession, sf_dir: str, vaults: tuple[int, int] | None = None, failures_only: bool = False
+) -> DataFrame:
+    """Telemetry records.  ``vaults`` (inclusive range) and ``failures_only``
+    are applied to the raw columns (``user_id``, ``event_type``) so that they
+    reach the Parquet scan as pushed filters; predicates on the derived
+    ``vault_id`` / ``failure`` columns cannot be pushed (Catalyst rewrites
+    ``failure = 1`` to ``(event_type = 'error') <=> true``)."""
     events = read_table(spark, sf_dir, "events")
     if vaults is not None:
         lo, hi = vaults
         events = events.where(F.col("user_id").between(lo - 1000, hi - 1000))
+    if failures_only:
+        events = events.where(F.col("event_type") == "error")
     return telemetry_from_events(events)
 
 
@@ -90,8 +96,11 @@ def telemetry_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def lineitem_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+def lineitem_telemetry(spark: SparkSession, sf_dir: str, failures_only: bool = False) -> DataFrame:
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    if failures_only:
+        lineitem = lineitem.where(F.col("l_returnflag") == "R")
+    return telemetry_from_lineitem(lineitem)
 
 
 LINEITEM_SQL = """
