@@ -100,3 +100,9 @@ def test_approx_quantiles_rank_error(spark):
         rank = np.searchsorted(s, r[name], side="right") / len(s)
         assert abs(rank - q) < 0.01
     assert r["min"] == s[0] and r["max"] == s[-1]
+
+
+def test_positions_null_group(spark):
+    df = spark.createDataFrame([(None, 3.0), (None, 1.0), (1, 2.0)], "g int, x double")
+    got = {(r.g, r.x): (r._pos, r._n) for r in group_positions(df, ["g"], "x").collect()}
+    assert got == {(None, 1.0): (0, 2), (None, 3.0): (1, 2), (1, 2.0): (0, 1)}

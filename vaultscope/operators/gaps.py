@@ -47,9 +47,10 @@ def previous_value(
     )
     by_group = Window.orderBy("_pid") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pid")
     carry = lasts.select("_pid", *group_cols, F.lag("_last").over(by_group).alias("_carry"))
-    return with_local.join(carry, ["_pid", *group_cols]).select(
-        *df.columns, F.coalesce(F.col("_lag"), F.col("_carry")).alias(out)
-    )
+    # null-safe on the group columns: a NULL group value is a group too
+    c = carry.select(F.col("_pid").alias("_c_pid"), *[F.col(g).alias(f"_c_{g}") for g in group_cols], "_carry")
+    cond = [F.col("_pid") == F.col("_c_pid")] + [F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group_cols]
+    return with_local.join(c, cond).select(*df.columns, F.coalesce(F.col("_lag"), F.col("_carry")).alias(out))
 
 
 def time_gaps(df: DataFrame, ts: str = "ts", tiebreak: str = "event_id", group_cols: list[str] | None = None) -> DataFrame:

@@ -35,8 +35,8 @@ def group_positions(
     group; ties in arbitrary but consistent order), ``_n`` (group size) and
     ``_pid`` (the range partition the row was ranked in).
 
-    ``order_col`` may be a list (lexicographic order).  Group columns must not
-    be NULL.
+    ``order_col`` may be a list (lexicographic order).  A NULL group value
+    forms its own group.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -62,7 +62,12 @@ def group_positions(
         (F.sum("_cnt").over(by_group.orderBy("_pid")) - F.col("_cnt")).alias("_before"),
         F.sum("_cnt").over(by_group).alias("_n"),
     )
-    return ranged.join(offsets, ["_pid", *group_cols]).select(
+    # null-safe on the group columns: a NULL group value is a group too
+    o = offsets.select(
+        F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in group_cols], "_first", "_before", "_n"
+    )
+    cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group_cols]
+    return ranged.join(o, cond).select(
         *df.columns,
         (F.col("_mid") - F.col("_first") + F.col("_before")).alias("_pos"),
         "_n",
