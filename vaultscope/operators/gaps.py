@@ -31,10 +31,11 @@ def previous_value(
     group_cols = list(group_cols or [])
     spark = df.sparkSession
     checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     ranged = (
-        df.repartitionByRange(parts, *keys)
+        # without an explicit count AQE may merge small neighbouring ranges;
+        # merged partitions are still contiguous ranges in key order
+        (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .checkpoint(eager=True)
