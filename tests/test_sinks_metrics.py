@@ -160,3 +160,36 @@ def test_kafka_reader_needs_connector(spark):
     opts = ksrc.kafka_source_options("localhost:1")
     with pytest.raises(Exception, match="(?i)kafka"):
         ksrc.read_kafka_lines(spark, opts, stream=False)
+
+
+def test_read_lines_with_header_and_closing(spark, scratch):
+    from vaultscope.functions import parse
+    from vaultscope.sources.text import header_line, read_lines
+    from vaultscope.streaming.run import with_closing
+
+    path = os.path.join(scratch, "file")
+    rows = [closing_line(dt.datetime(2024, 1, 1, h), 1005) for h in range(5)]
+    header_line(spark).unionByName(spark.createDataFrame([(r,) for r in rows], "value string")).coalesce(1).write.text(path)
+    lines = read_lines(spark, path)
+    assert lines.count() == 6
+    good = parse.good_records(parse.parse_lines(lines, "q1"))
+    assert good.count() == 5
+    closed = with_closing(lines)
+    assert closed.count() == 8
+    last = parse.good_records(parse.parse_lines(closed, "q1")).agg(F.max("ts")).first()[0]
+    # every window holding 2024-01-01 ends by 01-02 (the 23-day one is 12-10..01-02): close one day later
+    assert last == dt.datetime(2024, 1, 3)
+
+
+def test_result_csv_has_header(spark, scratch):
+    res = query1.temperature_stats(telemetry(spark, SF_SMALL), DAY)
+    out = os.path.join(scratch, "res")
+    fs.write_result_csv(fs.with_reference_header(res, "query1-1day"), out)
+    back = spark.read.option("header", True).csv(out)
+    assert back.columns == ["ts", "vault_id", "count", "mean_s194", "stddev_s194"] and back.count() == res.count()
+
+
+def test_kafka_writers_need_connector(spark, scratch):
+    lines = spark.createDataFrame([("a,b",)], "value string")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        ks.write_kafka(ks.publish_projection(lines), ks.kafka_sink_options("localhost:1", "input-data"))

@@ -275,7 +275,7 @@ def _lines_oracle(query: str, body: str, key: str = "serial_number") -> str:
 # SNK-2 projection: key = first CSV field, value = the whole line.
 register(
     "lines_publish_keyed",
-    lambda spark, d: _lines(spark, d).select(F.split("value", ",")[0].alias("key"), "value"),
+    lambda spark, d: kafka_sink.publish_projection(_lines(spark, d)),
     f"with {text_src.lines_sql()}\nselect split_part(value, ',', 1) as key, value from lines",
 )
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
-from ..functions.text import disk_text
+from ..functions.text import disks_text
 from ..operators.failures import failed, rank_top_k
 from ..operators.quantiles import QUANTILES, hazen_columns
 from ..plans.query1 import Q1_VAULTS, temperature_stats
@@ -84,9 +84,7 @@ def rank_closed_windows(per_vault: DataFrame, k: int = TOP_K) -> DataFrame:
         "rank",
         "vault_id",
         "failures",
-        F.array_join(
-            F.transform(F.array_sort(F.col("disks")), lambda d: disk_text(d["model"], d["serial_number"])), ", "
-        ).alias("disk_details"),
+        disks_text(F.array_sort(F.col("disks"))).alias("disk_details"),
     )
 
 

@@ -69,13 +69,6 @@ ALL_TIME = Grain("alltime", 23, 13)
 GRAINS = (DAY, THREE_DAYS, ALL_TIME)
 
 
-def by_label(label: str) -> Grain:
-    for g in GRAINS:
-        if g.label == label:
-            return g
-    raise KeyError(label)
-
-
 def window_text(c: str | Column) -> Column:
     """FN-1 / FN-2: a window bound as ``yyyy-MM-dd HH:mm:ss`` in the session zone (UTC)."""
     return F.date_format(c, WINDOW_TEXT_FORMAT)
