@@ -45,3 +45,16 @@ def test_run_batch_and_stream_agree(spark, line_folder, scratch, query):
         b = b.where(~b.ts.isin(list(closing_ts))) if closing_ts else b
         assert s.count() > 0 or b.count() == 0
         assert _rows(s.select(*b.columns)) == _rows(b)
+
+
+def test_stream_run_writes_metric_log(spark, line_folder, scratch):
+    from vaultscope.operators.metrics import parse_metric_log
+
+    inp = os.path.join(line_folder, "in", "*")
+    metrics = os.path.join(scratch, "metrics")
+    jobs.main(["run", "--query", "q1", "--input", inp, "--output", os.path.join(scratch, "o"), "--once",
+               "--checkpoint", os.path.join(scratch, "ck"), "--grains", "1day", "3days", "--metrics", metrics], spark=spark)
+    parsed = parse_metric_log(spark.read.text(metrics)).collect()
+    grains = {r.grain for r in parsed}
+    assert grains == {"query1_1day", "query1_3days"}
+    assert {r.metric for r in parsed} == {"throughput", "latency"} and all(r.value > 0 for r in parsed)

@@ -74,10 +74,20 @@ def run(spark: SparkSession, args) -> list[str]:
             names.append(name)
         return names
     configure_streaming(spark)
+    listener = None
+    if args.metrics:
+        from .streaming.listener import EmissionListener
+
+        listener = EmissionListener()
+        spark.streams.addListener(listener)
     started = []
     for g in grains:
         name = kafka_sink.topic_name(QUERY_NAMES[args.query], g.label)
         df = stream_result(_lines(spark, args, stream=True), args.query, g, args.dedup_key)
+        if listener is not None:
+            from .streaming.listener import count_emitted
+
+            df = count_emitted(df)
         w = (
             df.writeStream.outputMode("append")
             .queryName(name.replace("-", "_"))
@@ -99,13 +109,34 @@ def run(spark: SparkSession, args) -> list[str]:
                 w = w.option("header", True)
         started.append(w.start())
         names.append(name)
-    for q in started:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+    try:
+        for q in started:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    finally:
+        if listener is not None:
+            _write_metrics(spark, listener, started, args.metrics)
     return names
 
 
+def _write_metrics(spark: SparkSession, listener, started, path: str) -> None:
+    """SNK-7: the reference's metric log, one pair of lines per micro-batch and
+    query (cumulative emitted rows over time since the query started)."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    expected = sum(len(q.recentProgress) for q in started)
+    for _ in range(100):  # listener events arrive asynchronously
+        if len(listener.records) >= expected:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(listener)
+    m = listener.metrics(spark).where(F.col("n") > 0).withColumnRenamed("query", "grain")
+    file_sink.write_metric_log(m, path)
+
+
 def publish(spark: SparkSession, args) -> None:
     """SNK-2: raw lines to Kafka, key = first field (header lines skipped)."""
     lines = read_lines(spark, args.input).where(parse.not_header("value"))
@@ -141,6 +172,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--grains", nargs="*", help="subset of grain labels (default: all)")
     r.add_argument("--dedup-key", dest="dedup_key", default="serial_number", choices=["serial_number", "model"])
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
+    r.add_argument("--metrics", help="append throughput / latency log lines here (stream mode)")
     pb = sub.add_parser("publish", help="raw lines to Kafka")
     pb.add_argument("--input", required=True)
     pb.add_argument("--bootstrap", required=True)

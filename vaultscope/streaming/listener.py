@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
 
+EMITTED = "emitted"
+
+
+def count_emitted(df: DataFrame) -> DataFrame:
+    """Count the rows a streaming query emits, per micro-batch, for
+    :class:`EmissionListener` (sink independent)."""
+    return df.observe(EMITTED, F.count(F.lit(1)).alias("rows"))
+
+
 class EmissionListener(StreamingQueryListener):
     def __init__(self) -> None:
         self._lock = threading.Lock()
@@ -32,7 +41,10 @@ class EmissionListener(StreamingQueryListener):
         if start is None:
             return
         now = dt.datetime.fromisoformat(p.timestamp.replace("Z", "+00:00"))
-        sink_rows = p.sink.numOutputRows if p.sink is not None else -1
+        # rows counted by ``count_emitted`` work for every sink; the sink's own
+        # count is -1 for sinks that do not report (e.g. files)
+        observed = (p.observedMetrics or {}).get(EMITTED)
+        sink_rows = observed["rows"] if observed is not None else (p.sink.numOutputRows if p.sink is not None else -1)
         with self._lock:
             self.records.append(
                 {
