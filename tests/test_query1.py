@@ -60,6 +60,20 @@ def test_window_assignment(spark, grain, day, start):
     assert r.ts == start
 
 
+def test_grain_validation():
+    with pytest.raises(ValueError):
+        Grain("bad", 3, 3)
+    with pytest.raises(ValueError):
+        Grain("bad", 0, 0)
+
+
+def test_arithmetic_window_equals_window(spark):
+    df = spark.createDataFrame([(T(2023, 4, d, h),) for d in range(1, 28) for h in (0, 13)], "ts timestamp")
+    for g in GRAINS:
+        bad = df.where(g.window("ts") != g.window_of("ts")).count()
+        assert bad == 0, g
+
+
 def test_grain_containment():
     assert THREE_DAYS.contains(DAY) and ALL_TIME.contains(DAY)
     assert not ALL_TIME.contains(THREE_DAYS)

@@ -21,6 +21,10 @@ class Grain:
     size_days: int
     offset_days: int = 0
 
+    def __post_init__(self) -> None:
+        if self.size_days <= 0 or not 0 <= self.offset_days < self.size_days:
+            raise ValueError(f"need size > 0 and 0 <= offset < size, got {self.size_days}/{self.offset_days}")
+
     @property
     def size(self) -> str:
         return f"{self.size_days} days"
