@@ -43,9 +43,10 @@ def previous_value(
     local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
     with_local = ranged.withColumn("_lag", F.lag(value).over(local))
     # last value per (partition, group), then the previous partition's last per group
-    lasts = ranged.groupBy("_pid", *group_cols).agg(
-        F.max_by(F.col(value), F.struct(*order_cols)).alias("_last")
-    )
+    # when the value leads the order (time gaps) the last value is its max: a
+    # hash aggregate instead of a sort-based max_by over a struct key
+    last = F.max(value) if value == order_cols[0] else F.max_by(F.col(value), F.struct(*order_cols))
+    lasts = ranged.groupBy("_pid", *group_cols).agg(last.alias("_last"))
     by_group = Window.orderBy("_pid") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pid")
     carry = lasts.select("_pid", *group_cols, F.lag("_last").over(by_group).alias("_carry"))
     # null-safe on the group columns: a NULL group value is a group too
