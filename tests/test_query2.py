@@ -16,7 +16,7 @@ def fails(spark, per_vault):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_top10_ties_and_eleventh_vault(spark):
+def test_top_k_ties_and_eleventh_vault(spark):
     per_vault = {1000 + i: 1 for i in range(11)}
     per_vault[1050] = 3
     per_vault[1007] = 2

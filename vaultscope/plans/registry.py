@@ -147,18 +147,18 @@ def _q2(grain: Grain, select: str) -> str:
 
 for _g in GRAINS:
     register(
-        f"q2_top10_{_g.label}",
+        f"q2_top_vaults_{_g.label}",
         lambda spark, d, g=_g: query2.top_vaults(_failures(spark, d), g),
         _q2(_g, f"select {_fmt('w')} as ts, rank, vault_id, failures from r"),
     )
     register(
-        f"q2_top10_details_{_g.label}",
+        f"q2_top_vaults_details_{_g.label}",
         lambda spark, d, g=_g: query2.top_vault_details(_failures(spark, d), g),
         _q2(_g, f"select {_fmt('w')} as ts, rank, vault_id, failures, disk_details from x"),
     )
 
 register(
-    "q2_top10_disks_3days",
+    "q2_top_vaults_disks_3days",
     lambda spark, d: query2.top_vault_disks(_failures(spark, d), THREE_DAYS),
     _q2(
         THREE_DAYS,
@@ -431,7 +431,7 @@ register(
 )
 
 register(
-    "q2_lineitem_top10_3days",
+    "q2_lineitem_top_vaults_3days",
     lambda spark, d: query2.top_vaults(_lineitem(spark, d, failures_only=True), THREE_DAYS),
     f"with t as ({LINEITEM_SQL}),\n{_q2_ranked_sql(THREE_DAYS)}\n"
     f"select {_fmt('w')} as ts, rank, vault_id, failures from r",
@@ -456,7 +456,7 @@ register(
 )
 
 register(
-    "stream_q2_top10_3days",
+    "stream_q2_top_vaults_3days",
     lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q2_stream(s, THREE_DAYS), "q2"),
     _lines_oracle("q2", f", {_q2_ranked_sql(THREE_DAYS)}\nselect {_fmt('w')} as ts, rank, vault_id, failures from r"),
 )
