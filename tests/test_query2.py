@@ -56,3 +56,12 @@ def test_ranking_line_and_wide(spark):
 def test_disks_long_form(spark):
     out = query2.top_vault_disks(fails(spark, {1000: 2}), DAY).collect()
     assert len(out) == 2 and {r.serial_number for r in out} == {"S1000-0", "S1000-1"}
+
+
+def test_disk_arrays_structured_form(spark):
+    from vaultscope.schema import Q2_OUTPUT
+
+    out = query2.top_vault_disk_arrays(fails(spark, {1000: 2, 1001: 1}), DAY)
+    assert out.schema.simpleString() == Q2_OUTPUT.simpleString()
+    top = out.where("rank = 1").first()
+    assert top.vault_id == 1000 and [d.serial_number for d in top.disks] == ["S1000-0", "S1000-1"]

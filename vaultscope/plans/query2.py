@@ -39,6 +39,18 @@ def top_vault_disks(records: DataFrame, grain: Grain = DAY, k: int = TOP_K) -> D
     )
 
 
+def top_vault_disk_arrays(records: DataFrame, grain: Grain = DAY, k: int = TOP_K) -> DataFrame:
+    """The structured form: ts, rank, vault_id, failures,
+    disks array<struct<model, serial_number>> in event-time order."""
+    ranked = fo.rank_top_k(fo.failure_counts(records, grain), k)
+    disks = fo.ranked_disks(records, ranked, grain)
+    ordered = F.array_sort(F.collect_list(F.struct("event_ts", "model", "serial_number")))
+    out = disks.groupBy("window", "rank", "vault_id", "failures").agg(
+        F.transform(ordered, lambda d: F.struct(d["model"].alias("model"), d["serial_number"].alias("serial_number"))).alias("disks")
+    )
+    return out.select(window_text("window.start").alias("ts"), "rank", "vault_id", "failures", "disks")
+
+
 def top_vault_details(records: DataFrame, grain: Grain = DAY, k: int = TOP_K) -> DataFrame:
     """ts, rank, vault_id, failures, disk_details (joined text)."""
     return _details(records, grain, k).select(
