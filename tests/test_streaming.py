@@ -61,6 +61,15 @@ def test_q1_stream_equals_batch(spark, line_dir, scratch, grain):
     assert _rows(out) == _rows(batch)
 
 
+def test_q1_all_grains_one_stream_equals_batch(spark, line_dir, scratch):
+    base, lines, closing = line_dir
+    src = _stream_dir(spark, base, closing, "q1_all")
+    out = run_to_table(spark, sq.q1_stream_all_grains(read_lines_stream(spark, src)), os.path.join(scratch, "ck"), "q1s_all")
+    batch = query1.temperature_stats_all_grains(parse.good_records(parse.parse_lines(lines, "q1")))
+    assert {r.grain for r in out.select("grain").distinct().collect()} == {"1day", "3days", "alltime"}
+    assert _rows(out.select(*batch.columns)) == _rows(batch)
+
+
 def test_q2_stream_equals_batch(spark, line_dir, scratch):
     base, lines, closing = line_dir
     src = _stream_dir(spark, base, closing, "q2")

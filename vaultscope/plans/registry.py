@@ -455,6 +455,12 @@ register(
     _lines_oracle("q1", _q1_oracle(DAY)),
 )
 
+register(
+    "stream_q1_all_grains",
+    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), sq.q1_stream_all_grains, "q1all"),
+    _lines_oracle("q1", "\nunion all\n".join(_q1_oracle(g, with_grain=True) for g in GRAINS)),
+)
+
 register(
     "stream_q2_top_vaults_3days",
     lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q2_stream(s, THREE_DAYS), "q2"),

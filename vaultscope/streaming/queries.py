@@ -31,7 +31,7 @@ from ..operators.quantiles import QUANTILES, hazen_columns
 from ..plans.query1 import Q1_VAULTS, temperature_stats
 from ..plans.query2 import TOP_K
 from ..plans.query3 import Q3_VAULTS, select_q3
-from ..windows import DAY, Grain, window_text
+from ..windows import DAY, GRAINS, Grain, window_text
 
 # The reference's out-of-order bound.
 WATERMARK = "30 seconds"
@@ -47,6 +47,18 @@ def q1_stream(lines: DataFrame, grain: Grain = DAY, vaults=Q1_VAULTS, watermark:
     return temperature_stats(parsed_stream(lines, "q1", watermark=watermark), grain, vaults)
 
 
+def q1_stream_all_grains(lines: DataFrame, grains=GRAINS, vaults=Q1_VAULTS, watermark: str = WATERMARK) -> DataFrame:
+    """SET-2 in one streaming query, as the reference fans one parsed stream out
+    to three windowed aggregations: grain, ts, vault_id, count, mean_s194,
+    stddev_s194.  One source, one checkpoint, one stateful operator per grain."""
+    recs = parsed_stream(lines, "q1", watermark=watermark)
+    out = None
+    for g in grains:
+        part = temperature_stats(recs, g, vaults).select(F.lit(g.label).alias("grain"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q2_failures_stream(lines: DataFrame, grain: Grain = DAY, watermark: str = WATERMARK, disks: bool = True) -> DataFrame:
     """First stage of Query 2: window, vault_id, failures[, disks] per closed
     (window, vault).  ``disks`` (the failed disks of the vault-window, the
