@@ -472,3 +472,31 @@ register(
     lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q3_stream(s, THREE_DAYS), "q3"),
     _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
 )
+
+register(
+    "stream_q2_all_grains",
+    lambda spark, d: stream_run.stream_over_lines(
+        spark, _lines(spark, d), lambda s: sq.stream_all_grains(s, "q2"), "q2all"
+    ),
+    f"with {text_src.lines_sql()},\n{text_src.parse_sql('q2')},\n"
+    "t as (select ts, vault_id, failure, model, serial_number, s194, s9 from parsed where reject_reason is null)\n"
+    + "\nunion all\n".join(
+        f"(with {_q2_ranked_sql(g)}\nselect '{g.label}' as grain, {_fmt('w')} as ts, rank, vault_id, failures from r)"
+        for g in GRAINS
+    ),
+)
+
+register(
+    "stream_q3_all_grains",
+    lambda spark, d: stream_run.stream_over_lines(
+        spark, _lines(spark, d), lambda s: sq.stream_all_grains(s, "q3"), "q3all"
+    ),
+    _lines_oracle(
+        "q3",
+        "\nunion all\n".join(
+            "select '" + g.label + "' as grain, * from ("
+            + _q3_oracle(g).replace(f"with t as ({TELEMETRY_SQL})\n", "") + ")"
+            for g in GRAINS
+        ),
+    ),
+)

@@ -48,13 +48,25 @@ def q1_stream(lines: DataFrame, grain: Grain = DAY, vaults=Q1_VAULTS, watermark:
 
 
 def q1_stream_all_grains(lines: DataFrame, grains=GRAINS, vaults=Q1_VAULTS, watermark: str = WATERMARK) -> DataFrame:
-    """SET-2 in one streaming query, as the reference fans one parsed stream out
-    to three windowed aggregations: grain, ts, vault_id, count, mean_s194,
-    stddev_s194.  One source, one checkpoint, one stateful operator per grain."""
-    recs = parsed_stream(lines, "q1", watermark=watermark)
+    """SET-2 for Query 1 in one streaming query (see :func:`stream_all_grains`)."""
+    return stream_all_grains(lines, "q1", grains, watermark=watermark)
+
+
+def stream_all_grains(
+    lines: DataFrame, query: str, grains=GRAINS, watermark: str = WATERMARK, dedup_key: str = "serial_number"
+) -> DataFrame:
+    """SET-2: one parsed stream fanned out to every grain in one streaming query,
+    as the reference's jobs do: a ``grain`` column, then the query's columns.
+    One source and checkpoint; each grain has its own stateful operator(s)."""
+    recs = parsed_stream(lines, query, key=dedup_key, watermark=watermark)
+    build = {
+        "q1": lambda g: temperature_stats(recs, g, Q1_VAULTS),
+        "q2": lambda g: _q2_from_records(recs, g, TOP_K),
+        "q3": lambda g: _q3_from_records(recs, g, Q3_VAULTS, dedup_key),
+    }[query]
     out = None
     for g in grains:
-        part = temperature_stats(recs, g, vaults).select(F.lit(g.label).alias("grain"), "*")
+        part = build(g).select(F.lit(g.label).alias("grain"), "*")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -63,7 +75,11 @@ def q2_failures_stream(lines: DataFrame, grain: Grain = DAY, watermark: str = WA
     """First stage of Query 2: window, vault_id, failures[, disks] per closed
     (window, vault).  ``disks`` (the failed disks of the vault-window, the
     content of the detailed output) is kept only when asked for."""
-    recs = failed(parsed_stream(lines, "q2", watermark=watermark))
+    return _q2_counts(parsed_stream(lines, "q2", watermark=watermark), grain, disks)
+
+
+def _q2_counts(recs: DataFrame, grain: Grain, disks: bool) -> DataFrame:
+    recs = failed(recs)
     aggs = [F.sum("failure").cast("long").alias("failures")]
     if disks:
         aggs.append(F.collect_list(F.struct(F.col("ts").alias("event_ts"), "model", "serial_number")).alias("disks"))
@@ -74,7 +90,11 @@ def q2_stream(lines: DataFrame, grain: Grain = DAY, k: int = TOP_K, watermark: s
     """ts, rank, vault_id, failures per closed window (TOP-1): two chained
     windowed aggregations; the second keeps one (failures, vault) pair per
     failing vault of a window and emits the first k of their sorted array."""
-    per_vault = q2_failures_stream(lines, grain, watermark, disks=False)
+    return _q2_from_records(parsed_stream(lines, "q2", watermark=watermark), grain, k)
+
+
+def _q2_from_records(recs: DataFrame, grain: Grain, k: int) -> DataFrame:
+    per_vault = _q2_counts(recs, grain, disks=False)
     per_window = per_vault.groupBy(grain.window(F.window_time("window")).alias("window")).agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("failures")).alias("neg"), "vault_id"))), 1, k).alias("top")
     )
@@ -119,7 +139,11 @@ def q3_stream(
     approx: bool = False,
 ) -> DataFrame:
     """ts, vault_id, count, min/p25/p50/p75/max_hours per closed window."""
-    recs = select_q3(parsed_stream(lines, "q3", key=dedup_key, watermark=watermark), vaults, dedup_key)
+    return _q3_from_records(parsed_stream(lines, "q3", key=dedup_key, watermark=watermark), grain, vaults, dedup_key, approx)
+
+
+def _q3_from_records(recs: DataFrame, grain: Grain, vaults, dedup_key: str, approx: bool = False) -> DataFrame:
+    recs = select_q3(recs, vaults, dedup_key)
     latest = recs.groupBy(grain.window("ts").alias("window"), "vault_id", dedup_key).agg(
         F.max_by(F.col("s9"), F.struct("ts", "s9")).alias("s9")
     )
