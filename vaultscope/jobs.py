@@ -7,9 +7,10 @@ publisher and result consumer.
 
 ``run`` computes the query for every grain and writes one output per
 (query, grain), named like the reference's topics (``query1-1day``, ...).  In
-stream mode it starts one streaming query per grain (append mode, checkpoints
-under ``--checkpoint``) and waits for them; ``--once`` processes what is
-available and stops.  Input is a folder of raw text lines or a Kafka topic.
+stream mode it runs one streaming query for all grains (append mode, checkpoint
+under ``--checkpoint``): file sinks are partitioned by ``topic``, the Kafka sink
+routes each row to its topic.  ``--once`` processes what is available and
+stops.  Input is a folder of raw text lines or a Kafka topic.
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions import parse
+from .functions.text import tuple_text
 from .plans import query1, query2, query3
 from .session import configure, configure_streaming
 from .sinks import files as file_sink
@@ -76,47 +79,38 @@ def run(spark: SparkSession, args) -> list[str]:
     configure_streaming(spark)
     listener = None
     if args.metrics:
-        from .streaming.listener import EmissionListener
+        from .streaming.listener import EmissionListener, count_emitted
 
         listener = EmissionListener()
         spark.streams.addListener(listener)
-    started = []
-    for g in grains:
-        name = kafka_sink.topic_name(QUERY_NAMES[args.query], g.label)
-        df = stream_result(_lines(spark, args, stream=True), args.query, g, args.dedup_key)
-        if listener is not None:
-            from .streaming.listener import count_emitted
-
-            df = count_emitted(df)
-        w = (
-            df.writeStream.outputMode("append")
-            .queryName(name.replace("-", "_"))
-            .option("checkpointLocation", f"{args.checkpoint}/{name}")
-        )
-        w = w.trigger(availableNow=True) if args.once else w
-        if args.sink == "kafka":
-            msgs = kafka_sink.as_messages(df, name)
-            w = (
-                msgs.writeStream.outputMode("append").option("checkpointLocation", f"{args.checkpoint}/{name}")
-                .format("kafka").options(**kafka_sink.kafka_sink_options(args.sink_bootstrap, name))
-            )
-            w = w.trigger(availableNow=True) if args.once else w
-        elif args.sink == "console":
+    # one streaming query for all grains: one source read and one checkpoint,
+    # rows tagged with their topic (query<N>-<grain>)
+    qname = QUERY_NAMES[args.query]
+    df = sq.stream_all_grains(_lines(spark, args, stream=True), args.query, grains, dedup_key=args.dedup_key)
+    df = df.select(F.concat(F.lit(qname + "-"), F.col("grain")).alias("topic"), *[c for c in df.columns if c != "grain"])
+    if listener is not None:
+        df = count_emitted(df)
+    names = [kafka_sink.topic_name(qname, g.label) for g in grains]
+    if args.sink == "kafka":
+        out = df.select("topic", tuple_text(*[c for c in df.columns if c != "topic"]).alias("value"))
+        w = out.writeStream.format("kafka").options(**kafka_sink.kafka_sink_options(args.sink_bootstrap))
+    else:
+        w = df.writeStream
+        if args.sink == "console":
             w = w.format("console").option("truncate", False)
         else:
-            w = w.format(args.sink).option("path", f"{args.output}/{name}")
+            w = w.format(args.sink).option("path", args.output).partitionBy("topic")
             if args.sink == "csv":
                 w = w.option("header", True)
-        started.append(w.start())
-        names.append(name)
+    w = w.outputMode("append").queryName(f"{qname}_all_grains").option("checkpointLocation", f"{args.checkpoint}/{qname}")
+    q = (w.trigger(availableNow=True) if args.once else w).start()
     try:
-        for q in started:
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise RuntimeError(str(q.exception()))
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
     finally:
         if listener is not None:
-            _write_metrics(spark, listener, started, args.metrics)
+            _write_metrics(spark, listener, [q], args.metrics)
     return names
 
 
