@@ -47,7 +47,7 @@ def q1_stream(lines: DataFrame, grain: Grain = DAY, vaults=Q1_VAULTS, watermark:
     return temperature_stats(parsed_stream(lines, "q1", watermark=watermark), grain, vaults)
 
 
-def q1_stream_all_grains(lines: DataFrame, grains=GRAINS, vaults=Q1_VAULTS, watermark: str = WATERMARK) -> DataFrame:
+def q1_stream_all_grains(lines: DataFrame, grains=GRAINS, watermark: str = WATERMARK) -> DataFrame:
     """SET-2 for Query 1 in one streaming query (see :func:`stream_all_grains`)."""
     return stream_all_grains(lines, "q1", grains, watermark=watermark)
 
