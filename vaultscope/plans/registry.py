@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import parse
+from ..functions.text import record_text
 from ..session import configure
 from ..sinks import files as file_sink
 from ..sinks import kafka as kafka_sink
@@ -500,3 +501,39 @@ register(
         ),
     ),
 )
+
+
+# ---------------------------------------------------------------- metric log and debug text
+
+
+def _metric_log_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-7 then MET-3: metric log lines of the Query 1 emission metrics,
+    parsed back into (grain, metric, value, unit)."""
+    from ..operators.metrics import metric_log_lines, parse_metric_log
+
+    m = emission.q1_emission_metrics(_telemetry(spark, d, query1.Q1_VAULTS))
+    return parse_metric_log(metric_log_lines(m))
+
+
+def _metric_log_oracle() -> str:
+    inner = _emission_oracle().replace(f"with t as ({TELEMETRY_SQL})\n", "")
+    return _with_view(
+        f"select grain, 'throughput' as metric, {_r('rows_per_s')} as value, 'tuples/s' as unit from ({inner})\n"
+        f"union all\nselect grain, 'latency' as metric, {_r('ms_per_row')} as value, 'ms/tuple' as unit from ({inner})"
+    )
+
+
+register("q1_metric_log_round_trip", _metric_log_round_trip, _metric_log_oracle())
+
+register(
+    "q1_debug_text_1day",
+    lambda spark, d: round_doubles(query1.temperature_stats(_telemetry(spark, d, query1.Q1_VAULTS), DAY)).select(
+        "ts",
+        record_text("Statistics", "vault_id", "count", "mean_s194", "stddev_s194").alias("text"),
+    ),
+    _with_view(
+        "select ts, 'Statistics{vault_id=' || cast(vault_id as varchar) || ', count=' || cast(count as varchar) "
+        "|| ', mean_s194=' || cast(mean_s194 as varchar) || ', stddev_s194=' || cast(stddev_s194 as varchar) || '}' as text "
+        f"from ({_q1_oracle(DAY)})"
+    ),
+)
