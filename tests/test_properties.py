@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from vaultscope.functions import parse
 from vaultscope.operators.quantiles import QUANTILES, hazen_quantiles
 from vaultscope.plans import query1
-from vaultscope.windows import ALL_TIME, DAY, THREE_DAYS
+from vaultscope.windows import ALL_TIME, THREE_DAYS
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 SCHEMA = "ts timestamp, vault_id int, failure int, model string, serial_number string, s194 double, s9 double"
