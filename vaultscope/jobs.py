@@ -83,9 +83,11 @@ def run(spark: SparkSession, args) -> list[str]:
 
         listener = EmissionListener()
         spark.streams.addListener(listener)
+    qname = QUERY_NAMES[args.query]
+    if args.query == "q2" and args.details:
+        return _q2_details_stream(spark, args, grains, qname)
     # one streaming query for all grains: one source read and one checkpoint,
     # rows tagged with their topic (query<N>-<grain>)
-    qname = QUERY_NAMES[args.query]
     df = sq.stream_all_grains(_lines(spark, args, stream=True), args.query, grains, dedup_key=args.dedup_key)
     df = df.select(F.concat(F.lit(qname + "-"), F.col("grain")).alias("topic"), *[c for c in df.columns if c != "grain"])
     if listener is not None:
@@ -114,6 +116,28 @@ def run(spark: SparkSession, args) -> list[str]:
     return names
 
 
+def _q2_details_stream(spark: SparkSession, args, grains, qname: str) -> list[str]:
+    """Query 2 with disks: the first stage keeps each (grain, window, vault)'s
+    disks; every micro-batch of closed windows is ranked with the batch top-k
+    and appended as Parquet partitioned by topic."""
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        tagged = batch.select(F.concat(F.lit(qname + "-"), F.col("grain")).alias("topic"), *[c for c in batch.columns if c != "grain"])
+        tagged.write.mode("append").partitionBy("topic").parquet(args.output)
+
+    per_vault = sq.q2_failures_stream_all_grains(_lines(spark, args, stream=True), grains)
+    w = (
+        per_vault.writeStream.outputMode("append")
+        .foreachBatch(sq.q2_details_batch_writer(write))
+        .option("checkpointLocation", f"{args.checkpoint}/{qname}-details")
+    )
+    q = (w.trigger(availableNow=True) if args.once else w).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return [kafka_sink.topic_name(qname, g.label) for g in grains]
+
+
 def _write_metrics(spark: SparkSession, listener, started, path: str) -> None:
     """SNK-7: the reference's metric log, one pair of lines per micro-batch and
     query (cumulative emitted rows over time since the query started)."""
@@ -167,6 +191,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--dedup-key", dest="dedup_key", default="serial_number", choices=["serial_number", "model"])
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
     r.add_argument("--metrics", help="append throughput / latency log lines here (stream mode)")
+    r.add_argument("--details", action="store_true", help="q2 stream: include the failed disks (foreachBatch ranking)")
     pb = sub.add_parser("publish", help="raw lines to Kafka")
     pb.add_argument("--input", required=True)
     pb.add_argument("--bootstrap", required=True)

@@ -40,9 +40,10 @@ def failure_counts(records: DataFrame, grain: Grain, key: str = "vault_id") -> D
     )
 
 
-def rank_top_k(counts: DataFrame, k: int = 10, key: str = "vault_id") -> DataFrame:
-    """Adds ``rank`` (1..k) per window; rows ranked beyond k are dropped."""
-    w = Window.partitionBy("window").orderBy(F.desc("failures"), F.asc(key))
+def rank_top_k(counts: DataFrame, k: int = 10, key: str = "vault_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds ``rank`` (1..k) per window (and ``by`` columns, e.g. a grain);
+    rows ranked beyond k are dropped."""
+    w = Window.partitionBy(*by, "window").orderBy(F.desc("failures"), F.asc(key))
     return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 

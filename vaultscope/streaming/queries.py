@@ -107,11 +107,24 @@ def _q2_from_records(recs: DataFrame, grain: Grain, k: int) -> DataFrame:
     )
 
 
+def q2_failures_stream_all_grains(lines: DataFrame, grains=GRAINS, watermark: str = WATERMARK) -> DataFrame:
+    """First stage of Query 2 with disks for every grain in one query: grain,
+    window, vault_id, failures, disks."""
+    recs = parsed_stream(lines, "q2", watermark=watermark)
+    out = None
+    for g in grains:
+        part = _q2_counts(recs, g, disks=True).select(F.lit(g.label).alias("grain"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def rank_closed_windows(per_vault: DataFrame, k: int = TOP_K) -> DataFrame:
     """Batch ranking of first-stage rows (one micro-batch holds every vault of
-    the windows it closes): ts, rank, vault_id, failures, disk_details."""
-    ranked = rank_top_k(per_vault, k)
+    the windows it closes): [grain,] ts, rank, vault_id, failures, disk_details."""
+    by = ("grain",) if "grain" in per_vault.columns else ()
+    ranked = rank_top_k(per_vault, k, by=by)
     return ranked.select(
+        *by,
         window_text("window.start").alias("ts"),
         "rank",
         "vault_id",
