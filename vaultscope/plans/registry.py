@@ -231,6 +231,13 @@ for _g in GRAINS:
         _q3_oracle(_g),
     )
 
+# The same operator with the vault filter off: every event of the table counts.
+register(
+    "q3_power_on_3days_all_vaults",
+    lambda spark, d: query3.power_on_quantiles(_telemetry(spark, d), THREE_DAYS, vaults=None),
+    _q3_oracle(THREE_DAYS, vaults=None),
+)
+
 register(
     "q3_power_on_3days_by_model",
     lambda spark, d: query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS, dedup_key="model"),
