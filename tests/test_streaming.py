@@ -183,3 +183,15 @@ def test_rocksdb_state_store_equals_batch(spark, line_dir, scratch):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_q3_stream_sketch_equals_batch_sketch(spark, line_dir, scratch):
+    """The bounded-state form: the same percentile_approx sketches in stream and batch."""
+    base, lines, closing = line_dir
+    src = _stream_dir(spark, base, closing, "q3_approx")
+    out = run_to_table(
+        spark, sq.q3_stream(read_lines_stream(spark, src), THREE_DAYS, approx=True), os.path.join(scratch, "ck"), "q3s_approx"
+    )
+    batch = query3.power_on_quantiles_approx(parse.good_records(parse.parse_lines(lines, "q3")), THREE_DAYS)
+    assert out.count() > 0
+    assert _rows(out.select(*batch.columns)) == _rows(batch)
