@@ -77,6 +77,9 @@ def run(spark: SparkSession, args) -> list[str]:
             names.append(name)
         return names
     configure_streaming(spark)
+    if args.state_partitions:
+        # fixed for the life of the checkpoint: set it before the first start
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
     listener = None
     if args.metrics:
         from .streaming.listener import EmissionListener, count_emitted
@@ -192,6 +195,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
     r.add_argument("--metrics", help="append throughput / latency log lines here (stream mode)")
     r.add_argument("--details", action="store_true", help="q2 stream: include the failed disks (foreachBatch ranking)")
+    r.add_argument("--state-partitions", dest="state_partitions", type=int,
+                   help="stream: state-store partitions, fixed at the first start of a checkpoint")
     pb = sub.add_parser("publish", help="raw lines to Kafka")
     pb.add_argument("--input", required=True)
     pb.add_argument("--bootstrap", required=True)
