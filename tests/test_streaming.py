@@ -195,3 +195,27 @@ def test_q3_stream_sketch_equals_batch_sketch(spark, line_dir, scratch):
     batch = query3.power_on_quantiles_approx(parse.good_records(parse.parse_lines(lines, "q3")), THREE_DAYS)
     assert out.count() > 0
     assert _rows(out.select(*batch.columns)) == _rows(batch)
+
+
+def test_q3_exact_foreach_batch_equals_batch(spark, line_dir, scratch):
+    """Exact quantiles with bounded state: latest per key in the stream, Hazen
+    per micro-batch of closed windows with the skew-proof batch operator."""
+    base, lines, closing = line_dir
+    src = _stream_dir(spark, base, closing, "q3_exact")
+    out_dir = os.path.join(scratch, "q3e_out")
+
+    def write(df, _batch_id):
+        df.write.mode("append").parquet(out_dir)
+
+    q = (
+        sq.q3_latest_stream(read_lines_stream(spark, src), THREE_DAYS)
+        .writeStream.outputMode("append")
+        .foreachBatch(sq.q3_quantiles_batch_writer(write))
+        .option("checkpointLocation", os.path.join(scratch, "ck"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(out_dir)
+    batch = query3.power_on_quantiles(parse.good_records(parse.parse_lines(lines, "q3")), THREE_DAYS)
+    assert _rows(out.select(*batch.columns)) == _rows(batch)

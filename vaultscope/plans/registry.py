@@ -544,3 +544,11 @@ register(
         f"from ({_q1_oracle(DAY)})"
     ),
 )
+
+register(
+    "stream_q3_exact_3days",
+    lambda spark, d: stream_run.stream_foreach_batch_over_lines(
+        spark, _lines(spark, d), lambda s: sq.q3_latest_stream(s, THREE_DAYS), sq.q3_quantiles_batch_writer, "q3exact"
+    ),
+    _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
+)

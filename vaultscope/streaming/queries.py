@@ -16,7 +16,10 @@ the state store.
 * Query 3: (window, vault, key) -> latest hours, then (window, vault) -> sorted
   array of the latest values -> Hazen quantiles.  The second state holds one
   value per key of a vault-window; ``approx=True`` keeps a bounded
-  ``percentile_approx`` sketch instead.
+  ``percentile_approx`` sketch instead, and ``q3_latest_stream`` +
+  ``q3_quantiles_batch_writer`` keep only the first stage in state and compute
+  exact quantiles of each micro-batch of closed windows with the skew-proof
+  batch operator.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions import parse
 from ..functions.text import disks_text
 from ..operators.failures import failed, rank_top_k
-from ..operators.quantiles import QUANTILES, hazen_columns
+from ..operators.quantiles import QUANTILES, hazen_columns, hazen_quantiles
 from ..plans.query1 import Q1_VAULTS, temperature_stats
 from ..plans.query2 import TOP_K
 from ..plans.query3 import Q3_VAULTS, select_q3
@@ -177,3 +180,35 @@ def _q3_from_records(recs: DataFrame, grain: Grain, vaults, dedup_key: str, appr
         cols[5].alias("max_hours")
     ]
     return agg.select(window_text("window.start").alias("ts"), "vault_id", *named)
+
+
+def q3_latest_stream(
+    lines: DataFrame, grain: Grain = DAY, vaults=Q3_VAULTS, dedup_key: str = "serial_number", watermark: str = WATERMARK
+) -> DataFrame:
+    """First stage of Query 3: window, vault_id, <key>, s9 (latest hours) per
+    closed (window, vault, key).  State holds one value per key."""
+    recs = select_q3(parsed_stream(lines, "q3", key=dedup_key, watermark=watermark), vaults, dedup_key)
+    return recs.groupBy(grain.window("ts").alias("window"), "vault_id", dedup_key).agg(
+        F.max_by(F.col("s9"), F.struct("ts", "s9")).alias("s9")
+    )
+
+
+def q3_quantiles_batch_writer(write):
+    """``foreachBatch`` function: exact Hazen quantiles of each micro-batch of
+    closed windows with the batch operator (range-partitioned positions, so a
+    hot vault is split across tasks), handed to ``write(df, batch_id)`` as
+    ts, vault_id, count, min/p25/p50/p75/max_hours."""
+
+    def _each(batch: DataFrame, batch_id: int) -> None:
+        q = hazen_quantiles(batch, ["window", "vault_id"], "s9")
+        write(
+            q.select(
+                window_text("window.start").alias("ts"),
+                "vault_id",
+                "count",
+                *[F.col(c).alias(f"{c}_hours") for c in ("min", "p25", "p50", "p75", "max")],
+            ),
+            batch_id,
+        )
+
+    return _each

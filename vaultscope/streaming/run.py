@@ -133,3 +133,31 @@ def stream_over_lines(spark: SparkSession, lines: DataFrame, build, name: str) -
     lines.write.text(f"{base}/in/data")
     closing_lines_for(lines).coalesce(1).write.text(f"{base}/in/zz-closing")
     return run_to_parquet(spark, build(read_lines_stream(spark, f"{base}/in/*")), base)
+
+
+def stream_foreach_batch_over_lines(spark: SparkSession, lines: DataFrame, build, writer_factory, name: str) -> DataFrame:
+    """Like :func:`stream_over_lines`, for a stream whose output is produced in
+    ``foreachBatch``: ``writer_factory(write)`` wraps the per-batch computation,
+    ``write`` appends to a Parquet folder in the shared scratch folder."""
+    from ..sources.text import read_lines_stream
+
+    base = shared_scratch(spark, name)
+    lines.write.text(f"{base}/in/data")
+    closing_lines_for(lines).coalesce(1).write.text(f"{base}/in/zz-closing")
+    out = f"{base}/out"
+
+    def write(df: DataFrame, _batch_id: int) -> None:
+        df.write.mode("append").parquet(out)
+
+    q = (
+        build(read_lines_stream(spark, f"{base}/in/*"))
+        .writeStream.outputMode("append")
+        .foreachBatch(writer_factory(write))
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
