@@ -11,7 +11,9 @@ A row's position is then
   + (rows of the same group in all lower partitions)
 
 The second term comes from a table with one row per (partition, group), which
-is at most ``partitions + groups`` rows.  The ranged rows are checkpointed to
+is at most ``partitions + groups`` rows (groups = result rows).  No broadcast is
+forced: the planner and AQE broadcast whichever join side is below the
+threshold by (runtime) size, and shuffle-join otherwise.  The ranged rows are checkpointed to
 the shared checkpoint folder so that both uses see the same partitioning (a
 second sampling could move the cut points) and so that a lost executor does
 not re-run the range sampling.
