@@ -26,20 +26,27 @@ METRIC_LINE_RE = r"^Window (.+) - (Throughput|Latency): (\S+) (tuples/s|ms/tuple
 
 def emission_metrics(
     emitted: DataFrame,
-    start: DataFrame,
+    start: DataFrame | None = None,
     group_col: str = "grain",
     at: str = "emitted_at",
     tiebreak: list[str] | None = None,
+    first_col: str = "first_ts",
 ) -> DataFrame:
     """``emitted``: one row per emitted result with ``group_col`` and ``at``;
-    ``start``: one row per ``group_col`` with ``started_at``.
+    ``start``: one row per ``group_col`` with ``started_at``.  Without
+    ``start`` the clock of a group starts at the smallest ``first_col`` of its
+    rows (read from the checkpointed positions, not from the input again).
 
     Adds n (running count in emission order), elapsed_ms, rows_per_s, ms_per_row.
     """
     order = [at, *(tiebreak or [])]
     pos = group_positions(emitted, [group_col], order)
+    if start is None:
+        start = pos.groupBy(group_col).agg(F.min(first_col).alias("started_at"))
     # ``start`` has one row per group: a bounded side, joined on the group key
     joined = pos.join(F.broadcast(start), group_col)
+    if first_col in emitted.columns:
+        emitted = emitted.drop(first_col)
     n = (F.col("_pos") + 1).cast("long")
     elapsed_ms = F.unix_millis(F.col(at)) - F.unix_millis(F.col("started_at"))
     return joined.select(

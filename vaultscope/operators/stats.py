@@ -64,7 +64,7 @@ def window_partials(
     ts: str = "ts",
 ) -> DataFrame:
     """Mergeable partial statistics: window, key, n, sum, m2 (sum of squared
-    deviations from the mean)."""
+    deviations from the mean), first_ts (earliest reading)."""
     x = F.col(value)
     return (
         records.where(x.isNotNull())
@@ -73,6 +73,7 @@ def window_partials(
             F.count(F.lit(1)).alias("n"),
             F.sum(x).alias("sum"),
             (F.var_pop(x) * F.count(F.lit(1))).alias("m2"),
+            F.min(ts).alias("first_ts"),
         )
     )
 
@@ -91,6 +92,7 @@ def rollup_partials(partials: DataFrame, coarse: Grain, key: str = "vault_id") -
         "n",
         "sum",
         "m2",
+        "first_ts",
     ).select(
         "*",
         (F.sum("sum").over(w) / F.sum("n").over(w)).alias("M"),
@@ -100,6 +102,7 @@ def rollup_partials(partials: DataFrame, coarse: Grain, key: str = "vault_id") -
         F.sum(n).alias("n"),
         F.sum("sum").alias("sum"),
         (F.sum("m2") + F.sum(n * (F.col("sum") / n - F.col("M")) ** 2)).alias("m2"),
+        F.min("first_ts").alias("first_ts"),
     ).withColumnRenamed("cwindow", "window")
 
 
@@ -110,7 +113,7 @@ def rollup_partials_multi(partials: DataFrame, grains, key: str = "vault_id") ->
     ``explode`` of a fixed-size array), then all grains merge together under
     one partitioning on (grain, window, key).  The finest grain itself passes
     through unchanged (merging one partial adds exactly 0 to m2).  Output:
-    grain, window, key, n, sum, m2.
+    grain, window, key, n, sum, m2, first_ts.
     """
     expanded = partials.select(
         F.explode(
@@ -120,7 +123,8 @@ def rollup_partials_multi(partials: DataFrame, grains, key: str = "vault_id") ->
         "n",
         "sum",
         "m2",
-    ).select("g.grain", "g.cwindow", key, "n", "sum", "m2")
+        "first_ts",
+    ).select("g.grain", "g.cwindow", key, "n", "sum", "m2", "first_ts")
     grp = ["grain", "cwindow", key]
     w = Window.partitionBy(*grp)
     n = F.col("n")
@@ -131,6 +135,7 @@ def rollup_partials_multi(partials: DataFrame, grains, key: str = "vault_id") ->
             F.sum(n).alias("n"),
             F.sum("sum").alias("sum"),
             (F.sum("m2") + F.sum(n * (F.col("sum") / n - F.col("M")) ** 2)).alias("m2"),
+            F.min("first_ts").alias("first_ts"),
         )
         .withColumnRenamed("cwindow", "window")
     )
