@@ -1,0 +1,88 @@
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from vaultscope.llm import linededup
+from vaultscope.llm.linededup import PerfectHash, line_dedup, pack, unpack
+
+SPACE = " \t\n\r\x0b\x0c"
+
+
+def brute(rows, least=40, min_docs=5):
+    def key(line):
+        return line.encode().strip(SPACE.encode()).lower().decode()
+
+    held = defaultdict(list)
+    for doc, text in rows:
+        if doc is not None:
+            for k in {key(x) for x in (text or "").split("\n")}:
+                if len(k) >= least:
+                    held[k].append(doc)
+    last = {k: max(v) for k, v in held.items() if len(v) >= min_docs}
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if doc is None or last.get(key(x), doc) == doc]
+        out.append((doc, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=str)
+
+
+def got(df, **kw):
+    rows = line_dedup(df, **kw).collect()
+    return sorted(((r.doc_id, bytes(r.text).decode(), r.n_lines, r.n_dropped) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 63, 5000])
+def test_perfect_hash_is_minimal(n):
+    keys = np.unique(np.random.RandomState(n).randint(-(2**63), 2**63 - 1, n, dtype=np.int64)).view(np.uint64)
+    assert sorted(PerfectHash.build(keys).slots(keys)) == list(range(len(keys)))
+
+
+def test_shard_round_trip_and_foreign_keys():
+    keys = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    prints, counts = keys ^ np.uint64(77), np.arange(1, 2000)
+    index, p, c, last = unpack(pack(keys, prints, counts, counts * 3))
+    slot = index.slots(keys)
+    assert (p[slot] == prints).all() and (c[slot] == counts).all() and (last[slot] == counts * 3).all()
+    other = keys + np.uint64(1)
+    slot = index.slots(other)
+    assert not ((slot >= 0) & (p[slot] == (other ^ np.uint64(77)))).any()
+
+
+def test_keys_that_no_level_places(monkeypatch):
+    monkeypatch.setattr(linededup, "_LEVELS", 1)
+    keys = np.arange(1, 500, dtype=np.uint64)
+    index = PerfectHash.build(keys)
+    assert len(index.rest) and sorted(index.slots(keys)) == list(range(499))
+
+
+def test_documents_against_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert got(df) == brute([(r.doc_id, r.text) for r in df.collect()])
+    assert any(r[3] for r in got(df))
+
+
+def test_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "SHARD", 2)
+    rows = [(d, "\n".join(f"line number {k} which many documents share, padded" for k in range(d % 7))) for d in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(df) == brute(rows)
+
+
+def test_odd_rows(spark):
+    line = "Ä line of at least forty code points, with  inner   space"
+    rows = [(None, line), (1, None), (2, ""), (3, "\n\n"), (4, f"  {line}\t\n{line.replace('line', 'LINE')}\n"), (9, line)]
+    rows += [(k, f"x\n{line}") for k in range(5, 9)] + [(9, line), (10, "y" * 39), (11, "é" * 300_000)]
+    df = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, gone string, h1 int")
+    assert got(df) == brute(rows)
+    assert got(df.limit(0)) == []
+
+
+def test_query_digest(spark):
+    from vaultscope.llm.queries import op6_line_dedup
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {d: hashlib.sha256(t.encode()).hexdigest() for d, t, *_ in brute([(r.doc_id, r.text) for r in df.collect()])}
+    assert {r.doc_id: r.kept_sha256 for r in op6_line_dedup(spark, "/root/testdata/sf0.001").collect()} == want

@@ -7,9 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import configure
+from . import bpe
+from .linededup import line_dedup
 from .neardup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +29,23 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_near_duplicates"] = op1_near_duplicates
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES["op6_line_dedup"] = op6_line_dedup
+QUERIES["op9_byte_bpe"] = op9_byte_bpe

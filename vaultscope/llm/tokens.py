@@ -75,10 +75,11 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, offsets)
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The hash of each span of bytes."""
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+    """The hash of each span of bytes; ``values``, one for each byte, gives another hash."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power("up", len(data) + 1)[: len(data)], out=total[1:])
+    each = data.astype(np.uint64) + np.uint64(1) if values is None else values[data]
+    np.cumsum(each * _power("up", len(data) + 1)[: len(data)], out=total[1:])
     return mix((total[end] - total[begin]) * _power("down", len(data) + 1)[begin])
 
 
