@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from ..session import configure
 from . import bpe
 from .linededup import line_dedup
+from .mixing import mix_sources
 from .neardup import near_duplicates
+from .quality import quality_rules
+from .urlfilter import Rule, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +52,96 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op6_line_dedup"] = op6_line_dedup
 QUERIES["op9_byte_bpe"] = op9_byte_bpe
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_read(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_read(spark, sf_dir, "documents"))
+
+
+URL_RULES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
+QUERIES["op4_mixing"] = op4_mixing
+QUERIES["op5_quality_rules"] = op5_quality_rules
+QUERIES["op10_url_filter"] = op10_url_filter
+
+_SPACE = r"[\x20\x09-\x0D]"
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op1_near_duplicates"] = f"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex({_FOLD.format("coalesce(text, '')")}, '{_SPACE}+'), lambda x: x <> '') as w from documents),
+s as (
+  select doc_id, array_to_string(w[i:i + 3], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from w where len(w) > 0)
+  group by all),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as both_have from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+e as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b
+  where 100 * both_have >= 80 * (x.n + y.n - both_have)),
+r as (select doc_id as node, doc_id as root from w union select e.b, r.root from r join e on e.a = r.node)
+select r.node as doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, min(r.root) as component_id, r.node = min(r.root) as kept
+from r left join n on n.doc_id = r.node group by r.node
+"""
+
+ORACLES["op5_quality_rules"] = f"""
+with d as (select doc_id, source, coalesce(text, '') as text, {_WORDS} as w from documents),
+g as (select doc_id, i, hash(w[i], w[i + 1], w[i + 2]) as h, w[i:i + 2] as t from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
+c as (select doc_id, i from g qualify count(*) over (partition by doc_id, h, t) > 1),
+r as (select doc_id, count(distinct i + k) as n from c, (select unnest([0, 1, 2]) as k) group by doc_id),
+m as (
+  select d.doc_id, source, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    (length(text) - length(translate(text, '#*$%&|<>', '')))::bigint as n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l,
+    coalesce(r.n, 0)::bigint as n_repeat_words
+  from d left join r using (doc_id)),
+b as (
+  select * exclude (l), (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
+    n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
+h as (select source, count(*) as n, sum(base_failed::int) as f from b group by source),
+q as (select avg(f / n) as mean, var_pop(f / n) as spread from h),
+v as (
+  select source, case when spread = 0 then mean
+    else (f + mean * greatest(mean * (1 - mean) / spread - 1, 1e-6)) / (n + greatest(mean * (1 - mean) / spread - 1, 1e-6)) end as rate
+  from h, q)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and rate <= 0.8 as kept
+from b join v on b.source is not distinct from v.source
+"""
+
+ORACLES["op6_line_dedup"] = f"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from documents),
+k as (select *, {_FOLD.format("regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g')")} as key from l),
+f as (select key, max(doc_id) as last from k where length(key) >= 40 group by key having count(distinct doc_id) >= 5),
+j as (select k.*, last is not null and last <> doc_id as gone from k left join f using (key))
+select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from j group by doc_id
+"""
+
+ORACLES["op10_url_filter"] = f"""
+with u as (
+  select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+p as (
+  select page_id, {_FOLD.format("regexp_extract(rest, '^[^/?#]*')")} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+r (rule_host, rule_path, rule_verdict) as (values {', '.join(f"('{r.host}', '{r.path}', '{r.verdict}')" for r in URL_RULES)}),
+m as (
+  select page_id, rule_host || rule_path as rule, rule_verdict from p join r
+    on ('.' || host) like ('%.' || rule_host) and starts_with(path, rule_path)
+  qualify row_number() over (partition by page_id order by length(rule_host || rule_path) desc) = 1)
+select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from p left join m using (page_id)
+"""
