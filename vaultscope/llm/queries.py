@@ -17,6 +17,7 @@ from .linededup import line_dedup
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .quality import quality_rules
+from .substrings import remove_repeats
 from .urlfilter import Rule, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +55,11 @@ QUERIES["op6_line_dedup"] = op6_line_dedup
 QUERIES["op9_byte_bpe"] = op9_byte_bpe
 
 
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_read(spark, sf_dir, "documents"), size=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
@@ -75,6 +81,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_read(spark, sf_dir, "pages"), URL_RULES)
 
 
+QUERIES["op3_repeated_passages"] = op3_repeated_passages
 QUERIES["op4_mixing"] = op4_mixing
 QUERIES["op5_quality_rules"] = op5_quality_rules
 QUERIES["op10_url_filter"] = op10_url_filter
@@ -99,6 +106,18 @@ select r.node as doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, min(
 from r left join n on n.doc_id = r.node group by r.node
 """
 
+ORACLES["op3_repeated_passages"] = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+k as (select doc_id, i, array_to_string(w[i:i + 49], ' ') as t from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from d)),
+f as (select doc_id, i, min(doc_id) over (partition by t) as least from k),
+c as (select distinct doc_id, unnest(range(i, i + 50)) as i from f where least < doc_id),
+x as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as i from d),
+j as (select x.*, c.i is not null as gone from x left join c using (doc_id, i))
+select d.doc_id, len(any_value(d.w))::bigint as n_words, count(*) filter (j.gone) as n_removed,
+  sha256(coalesce(string_agg(j.word, ' ' order by j.i) filter (not j.gone), '')) as kept_sha256
+from d left join j using (doc_id) group by d.doc_id
+"""
+
 ORACLES["op5_quality_rules"] = f"""
 with d as (select doc_id, source, coalesce(text, '') as text, {_WORDS} as w from documents),
 g as (select doc_id, i, hash(w[i], w[i + 1], w[i + 2]) as h, w[i:i + 2] as t from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from d)),
