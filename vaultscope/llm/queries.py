@@ -16,6 +16,7 @@ from . import bpe
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .neardup import near_duplicates
+from .neighbours import nearest_neighbours
 from .quality import quality_rules
 from .substrings import remove_repeats
 from .urlfilter import Rule, url_filter
@@ -164,3 +165,11 @@ m as (
   qualify row_number() over (partition by page_id order by length(rule_host || rule_path) desc) = 1)
 select page_id, host, path, rule, coalesce(rule_verdict, 'allow') as verdict from p left join m using (page_id)
 """
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    return nearest_neighbours(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+QUERIES["op7_nearest_neighbours"] = op7_nearest_neighbours
