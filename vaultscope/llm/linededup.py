@@ -242,6 +242,6 @@ def line_dedup(
     )
     gone = table(gone.groupBy("doc").agg(F.collect_set("h1").alias("gone")))
     return (
-        texts.join(gone, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "gone")
+        texts.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "gone")
         .mapInArrow(_clean(least), "doc_id long, text binary, n_lines long, n_dropped long")
     )
