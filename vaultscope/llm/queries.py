@@ -19,6 +19,7 @@ from .neardup import near_duplicates
 from .neighbours import nearest_neighbours
 from .quality import quality_rules
 from .substrings import remove_repeats
+from .toxicity import toxicity
 from .urlfilter import Rule, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +174,10 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_nearest_neighbours"] = op7_nearest_neighbours
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+QUERIES["op2_toxicity"] = op2_toxicity
