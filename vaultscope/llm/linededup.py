@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
@@ -196,7 +196,7 @@ def _clean(least: int):
                     texts.append(raw)
                 yield pa.record_batch(
                     {
-                        "doc_id": batch.column(0).slice(row, count),
+                        "row": batch.column(0).slice(row, count),
                         "text": pa.array(texts, pa.binary()),
                         "n_lines": pa.array(np.diff(first).astype(np.int64)),
                         "n_dropped": pa.array(dropped),
@@ -206,21 +206,8 @@ def _clean(least: int):
     return run
 
 
-def line_dedup(
-    docs: DataFrame, least: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Drop lines that many documents share, except in the largest doc_id holding them.
-
-    Texts are split at newlines; a line's key is the line without ``[\\x20\\x09-\\x0D]``
-    at both ends, A-Z lower-cased.  Keys of at least ``least`` code points found in
-    at least ``min_docs`` documents lose all their lines but in the largest doc_id.
-    Returns one row per input row: doc_id, text (what stays, joined by newlines),
-    n_lines (before) and n_dropped.  A null or empty text is one empty line and
-    comes back empty.  Rows with the same doc_id count as a document each and, where
-    it is the largest, all keep the line.  A row with a null doc_id neither counts
-    nor loses lines.  Other columns are ignored; an empty table gives no rows.
-    """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+def _gone(texts: DataFrame, least: int, min_docs: int) -> DataFrame:
+    """(doc, gone): the line hashes that each (doc_id, text) loses."""
     lines = texts.where("doc_id is not null").mapInArrow(_emit(least), "doc long, h1 long, h2 long")
     common = table(
         lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last")).where(F.col("docs") >= min_docs)
@@ -240,8 +227,43 @@ def line_dedup(
         index.union(probes).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
         .mapInArrow(_probe(min_docs), "doc long, h1 long")
     )
-    gone = table(gone.groupBy("doc").agg(F.collect_set("h1").alias("gone")))
+    return table(gone.groupBy("doc").agg(F.collect_set("h1").alias("gone")))
+
+
+def _cleaned(docs: DataFrame, row: Column, least: int, min_docs: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, text, n_lines, n_dropped); ``row`` is carried along."""
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("binary")
+    gone = _gone(docs.select(doc_id.alias("doc_id"), text.alias("text")), least, min_docs)
+    rows = docs.select(row.alias("row"), text.alias("text"), doc_id.alias("doc_id"))
+    kind = rows.schema["row"].dataType.simpleString()
     return (
-        texts.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "gone")
-        .mapInArrow(_clean(least), "doc_id long, text binary, n_lines long, n_dropped long")
+        rows.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("doc"), "left").select("row", "text", "gone")
+        .mapInArrow(_clean(least), f"row {kind}, text binary, n_lines long, n_dropped long")
     )
+
+
+def line_dedup(
+    docs: DataFrame, least: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Drop lines that many documents share, except in the largest doc_id holding them.
+
+    Texts are split at newlines; a line's key is the line without ``[\\x20\\x09-\\x0D]``
+    at both ends, A-Z lower-cased.  Keys of at least ``least`` code points found in
+    at least ``min_docs`` documents lose all their lines but in the largest doc_id.
+    Returns one row per input row: doc_id, text (what stays, joined by newlines),
+    n_lines (before) and n_dropped.  A null or empty text is one empty line and
+    comes back empty.  Rows with the same doc_id count as a document each and, where
+    it is the largest, all keep the line.  A row with a null doc_id neither counts
+    nor loses lines.  Other columns are ignored; an empty table gives no rows.
+    """
+    return _cleaned(docs, F.col(id_col).cast("long"), least, min_docs, id_col, text_col).withColumnRenamed("row", "doc_id")
+
+
+def without_shared_lines(
+    docs: DataFrame, least: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, after :func:`line_dedup`; a null text comes back empty."""
+    others = F.struct(F.lit(0).alias("__none"), *(F.col(c) for c in docs.columns if c != text_col))
+    rows = _cleaned(docs, others, least, min_docs, id_col, text_col)
+    text = F.col("text").cast("string")
+    return rows.select(*(text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
