@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from . import bpe
+from .licences import scan_licences
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .neardup import near_duplicates
@@ -181,3 +182,17 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_toxicity"] = op2_toxicity
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan_licences(_read(spark, sf_dir, "documents"))
+    return scanned.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("found").cast("long").alias("n_found"),
+        F.array_join("families", ",").alias("families"),
+        F.round(F.array_max(F.transform("found", lambda x: x.probability)), 6).alias("best_probability"),
+    )
+
+
+QUERIES["op8_licences"] = op8_licences
