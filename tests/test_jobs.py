@@ -7,6 +7,7 @@ import pytest
 
 from conftest import SF_ORACLE
 from vaultscope import jobs
+from vaultscope.sinks import kafka as kafka_sink
 from vaultscope.sources.telemetry import telemetry
 from vaultscope.sources.text import telemetry_lines
 from vaultscope.streaming.run import closing_lines_for
@@ -30,7 +31,7 @@ def test_run_batch_and_stream_agree(spark, line_folder, scratch, query):
     inp = os.path.join(line_folder, "in", "*")
     out_b, out_s = os.path.join(scratch, "b"), os.path.join(scratch, "s")
     names = jobs.main(["run", "--query", query, "--input", inp, "--output", out_b, "--mode", "batch"], spark=spark)
-    assert names == [f"query{query[1]}-{g}" for g in ("1day", "3days", "alltime")]
+    assert names == list(kafka_sink.TOPICS[f"query{query[1]}"].values())
     jobs.main(["run", "--query", query, "--input", inp, "--output", out_s, "--mode", "stream", "--once",
                "--checkpoint", os.path.join(scratch, "ck")], spark=spark)
     streamed = spark.read.parquet(out_s)
@@ -56,9 +57,8 @@ def test_stream_run_writes_metric_log(spark, line_folder, scratch):
     metrics = os.path.join(scratch, "metrics")
     jobs.main(["run", "--query", "q1", "--input", inp, "--output", os.path.join(scratch, "o"), "--once",
                "--checkpoint", os.path.join(scratch, "ck"), "--grains", "1day", "3days", "--metrics", metrics], spark=spark)
-    parsed = parse_metric_log(spark.read.text(metrics)).collect()
-    grains = {r.grain for r in parsed}
-    assert grains == {"query1_all_grains"}
+    parsed = parse_metric_log(spark.read.text(metrics).select("value")).collect()
+    assert {r.grain for r in parsed} == {"1day", "3days"}
     assert {r.metric for r in parsed} == {"throughput", "latency"} and all(r.value > 0 for r in parsed)
 
 
@@ -77,3 +77,36 @@ def test_q2_details_stream_equals_batch(spark, line_folder, scratch):
         b = b.where(~b.ts.isin(list(closing_ts))) if closing_ts else b
         assert s.count() > 0
         assert _rows(s.select(*b.columns)) == _rows(b)
+
+
+def test_run_needs_its_folders(spark):
+    for given in (["--query", "q1"], ["--query", "q1", "--input", "x"], ["--query", "q1", "--input", "x", "--output", "y"],
+                  ["--query", "q1", "--input", "x", "--checkpoint", "y", "--sink", "kafka"]):
+        with pytest.raises(SystemExit):
+            jobs.main(["run", *given], spark=spark)
+
+
+def test_replayed_batch_leaves_no_duplicates(spark, scratch):
+    args = jobs.parser().parse_args(["run", "--query", "q1", "--output", scratch])
+    write = jobs._batch_writer(spark, args, lambda batch: batch, list(jobs.GRAINS))
+    batch = spark.createDataFrame([("1day", "2023-04-01 00:00:00", 1000, 3)], "grain string, ts string, vault_id int, count long")
+    write(batch, 0)
+    write(batch, 0)
+    write(batch, 1)
+    assert spark.read.parquet(scratch).count() == 2
+
+
+def test_rejects_of_a_batch_run(spark, line_folder, scratch):
+    inp = os.path.join(line_folder, "in", "*")
+    rejects = os.path.join(scratch, "r")
+    jobs.main(["run", "--query", "q1", "--input", inp, "--output", os.path.join(scratch, "o"), "--mode", "batch", "--grains", "1day",
+               "--rejects", rejects], spark=spark)
+    assert {r.reject_reason for r in spark.read.parquet(rejects).collect()} >= {"too_few_fields", "bad_timestamp"}
+
+
+def test_query2_messages_hold_one_line_per_window(spark):
+    rows = spark.createDataFrame(
+        [("t", "w1", 2, 7, 1, "d7"), ("t", "w1", 1, 5, 3, "d5"), ("t", "w2", 1, 9, 1, "d9")],
+        "topic string, ts string, rank int, vault_id int, failures long, disk_details string",
+    )
+    assert sorted(r.value for r in jobs.result_messages(rows, "q2").collect()) == ["w1, 5, 3 (d5), 7, 1 (d7)", "w2, 9, 1 (d9)"]

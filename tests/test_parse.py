@@ -69,3 +69,9 @@ def test_single_split_in_plan(spark):
     good = parse.good_records(parse.parse_lines(df, "q3"))
     plan = good._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_only_the_header_itself_is_skipped(spark):
+    df = spark.createDataFrame([(",".join(S.FIELD_NAMES),), ("dated but no header",), (line(ts="date"),)], "value string")
+    got = sorted(r.reject_reason for r in parse.parse_lines(df, "q1").collect())
+    assert got == ["bad_timestamp", "too_few_fields"]

@@ -29,6 +29,7 @@ def test_kafka_source_options():
 def test_kafka_sink_options_and_topics():
     assert ks.kafka_sink_options("b:1", "t")["kafka.enable.idempotence"] == "true"
     assert ks.topic_name("query1", DAY.label) == "query1-1day"
+    assert ks.topic_name("query2", DAY.label) == "query2_1-day" and ks.topic_name("query3", "alltime") == "query3_all-time"
 
 
 def test_messages_round_trip(spark):
@@ -150,7 +151,7 @@ def test_foreach_batch_topic_csv(spark, scratch):
         .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    back = spark.read.text(os.path.join(out, "topic=query1-1day")).collect()
+    back = spark.read.text(out).where("topic = 'query1-1day'").collect()
     # two vaults on 2024-01-01 and 2024-01-02 (30 hourly rows), the closing row's day stays open
     assert len(back) == 4 and all(r.value.count(",") == 4 for r in back)
 
@@ -193,3 +194,17 @@ def test_kafka_writers_need_connector(spark, scratch):
     lines = spark.createDataFrame([("a,b",)], "value string")
     with pytest.raises(Exception, match="(?i)kafka"):
         ks.write_kafka(ks.publish_projection(lines), ks.kafka_sink_options("localhost:1", "input-data"))
+
+
+def test_replayed_message_batch_is_written_once(spark, scratch):
+    msgs = spark.createDataFrame([("query1-1day", "(a,1)")], "topic string, value string")
+    write = fs.foreach_batch_csv(scratch)
+    write(msgs, 7)
+    write(msgs, 7)
+    assert [r.value for r in spark.read.text(scratch).collect()] == ["a,1"]
+
+
+def test_publish_sends_lines_with_a_timestamp_only(spark):
+    lines = ["date,serial_number,model", "dated line", "2023-04-01T00:00:00,no fraction", "2023-04-01T00:00:00.000000,x", ""]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert [r.value for r in ks.publish_projection(df).collect()] == ["2023-04-01T00:00:00.000000,x"]

@@ -133,7 +133,7 @@ def test_late_row_dropped(spark, scratch):
 
     def write(name, rows):
         with open(os.path.join(src, name), "w") as fh:
-            fh.write("\n".join(closing_line(t, v).replace(",23.0,", f",{temp},") for t, v, temp in rows) + "\n")
+            fh.write("\n".join(closing_line(t, v).replace(",2.5,", f",{temp},") for t, v, temp in rows) + "\n")
 
     write("a.txt", [(base, 1000, 20.0), (base + dt.timedelta(days=2), 1000, 30.0)])
     lines = read_lines_stream(spark, src, max_files_per_trigger=1)
@@ -219,3 +219,49 @@ def test_q3_exact_foreach_batch_equals_batch(spark, line_dir, scratch):
     out = spark.read.parquet(out_dir)
     batch = query3.power_on_quantiles(parse.good_records(parse.parse_lines(lines, "q3")), THREE_DAYS)
     assert _rows(out.select(*batch.columns)) == _rows(batch)
+
+
+def test_closing_lines_of_no_lines(spark):
+    assert closing_lines_for(spark.createDataFrame([], "value string")).count() == 0
+    assert closing_lines_for(spark.createDataFrame([("no time",)], "value string")).count() == 0
+
+
+def test_all_grains_in_several_batches_parse_each_line_once(spark):
+    """The raw source is read once for all grains, over several micro-batches, and the
+    result is that of one batch."""
+    from conftest import SF_ORACLE
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    from vaultscope.plans import registry
+    from vaultscope.sources.telemetry import telemetry
+    from vaultscope.sources.text import telemetry_lines
+    from vaultscope.streaming import run as stream_run
+
+    seen = []
+
+    class Seen(StreamingQueryListener):
+        def onQueryStarted(self, event): ...
+        def onQueryIdle(self, event): ...
+        def onQueryProgress(self, event):
+            if event.progress.numInputRows:
+                seen.append((str(event.progress.id), event.progress.numInputRows, event.progress.sources[0].description))
+        def onQueryTerminated(self, event):
+            ended.append(str(event.id))
+
+    import time
+
+    ended, listener = [], Seen()
+    spark.streams.addListener(listener)
+    lines = telemetry_lines(telemetry(spark, SF_ORACLE))
+    try:
+        rows = stream_run.all_grains_over_lines(spark, lines, "q1", "once").count()
+        for _ in range(600):
+            if len(ended) == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    raw = [n for _, n, source in seen if "records" not in source]
+    assert len(raw) >= 5 and sum(raw) == lines.count() + 2
+    assert len({i for i, *_ in seen}) == 2 and rows > 0
+    assert rows == registry.QUERIES["stream_q1_all_grains"](spark, SF_ORACLE).count()

@@ -36,7 +36,8 @@ def _int(text: Column) -> Column:
 
 
 def not_header(value: str = "value") -> Column:
-    """SRC-5: header lines start with ``date``."""
+    """SRC-5: a header line starts with the first column names; any other line that
+    starts with ``date`` is parsed, and rejected with a reason."""
     return ~F.col(value).startswith(S.HEADER_PREFIX)
 
 

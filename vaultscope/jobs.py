@@ -6,18 +6,19 @@ publisher and result consumer.
   python -m vaultscope collect --bootstrap HOST:PORT --output DIR
 
 ``run`` computes the query for every grain and writes one output per
-(query, grain), named like the reference's topics (``query1-1day``, ...).  In
-stream mode it runs one streaming query for all grains (append mode, checkpoint
-under ``--checkpoint``): file sinks are partitioned by ``topic``, the Kafka sink
-routes each row to its topic.  ``--once`` processes what is available and
-stops.  Input is a folder of raw text lines or a Kafka topic.
+(query, grain), named like its topic (see ``sinks/kafka.TOPICS``).  In
+stream mode one query reads and parses the lines once into slim records under
+``--checkpoint``, and a second one computes every grain from them: file sinks are
+partitioned by micro-batch and ``topic``, the Kafka sink routes each row to its
+topic.  ``--once`` processes what is available and stops.  Input is a folder of raw text lines or a Kafka topic.
 """
 
 from __future__ import annotations
 
 import argparse
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import parse
@@ -29,6 +30,7 @@ from .sinks import kafka as kafka_sink
 from .sources import kafka as kafka_src
 from .sources.text import read_lines, read_lines_stream
 from .streaming import queries as sq
+from .streaming.run import with_closing
 from .windows import GRAINS, Grain
 
 QUERY_NAMES = {"q1": "query1", "q2": "query2", "q3": "query3"}
@@ -71,6 +73,8 @@ def run(spark: SparkSession, args) -> list[str]:
     if args.mode == "batch":
         configure(spark)
         lines = _lines(spark, args, stream=False)
+        if args.rejects:
+            parse.rejects(parse.parse_lines(lines, args.query, key=args.dedup_key)).write.mode("overwrite").parquet(args.rejects)
         for g in grains:
             name = kafka_sink.topic_name(QUERY_NAMES[args.query], g.label)
             batch_result(lines, args.query, g, args.dedup_key).write.mode("overwrite").parquet(f"{args.output}/{name}")
@@ -80,87 +84,94 @@ def run(spark: SparkSession, args) -> list[str]:
     if args.state_partitions:
         # fixed for the life of the checkpoint: set it before the first start
         spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
-    listener = None
-    if args.metrics:
-        from .streaming.listener import EmissionListener, count_emitted
-
-        listener = EmissionListener()
-        spark.streams.addListener(listener)
     qname = QUERY_NAMES[args.query]
+    lines, base = _lines(spark, args, stream=True), f"{args.checkpoint}/{qname}"
     if args.query == "q2" and args.details:
-        return _q2_details_stream(spark, args, grains, qname)
-    # one streaming query for all grains: one source read and one checkpoint,
-    # rows tagged with their topic (query<N>-<grain>)
-    df = sq.stream_all_grains(_lines(spark, args, stream=True), args.query, grains, dedup_key=args.dedup_key)
-    df = df.select(F.concat(F.lit(qname + "-"), F.col("grain")).alias("topic"), *[c for c in df.columns if c != "grain"])
-    if listener is not None:
-        df = count_emitted(df)
-    names = [kafka_sink.topic_name(qname, g.label) for g in grains]
-    if args.sink == "kafka":
-        out = df.select("topic", tuple_text(*[c for c in df.columns if c != "topic"]).alias("value"))
-        w = out.writeStream.format("kafka").options(**kafka_sink.kafka_sink_options(args.sink_bootstrap))
+        # the disks of every failing (grain, window, vault) are part of the result
+        closed = [sq.q2_failures_stream_all_grains(lines, grains)]
+        finish = sq.rank_closed_windows
     else:
-        w = df.writeStream
-        if args.sink == "console":
-            w = w.format("console").option("truncate", False)
-        else:
-            w = w.format(args.sink).option("path", args.output).partitionBy("topic")
-            if args.sink == "csv":
-                w = w.option("header", True)
-    w = w.outputMode("append").queryName(f"{qname}_all_grains").option("checkpointLocation", f"{args.checkpoint}/{qname}")
-    q = (w.trigger(availableNow=True) if args.once else w).start()
-    try:
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-    finally:
-        if listener is not None:
-            _write_metrics(spark, listener, [q], args.metrics)
-    return names
-
-
-def _q2_details_stream(spark: SparkSession, args, grains, qname: str) -> list[str]:
-    """Query 2 with disks: the first stage keeps each (grain, window, vault)'s
-    disks; every micro-batch of closed windows is ranked with the batch top-k
-    and appended as Parquet partitioned by topic."""
-
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        tagged = batch.select(F.concat(F.lit(qname + "-"), F.col("grain")).alias("topic"), *[c for c in batch.columns if c != "grain"])
-        tagged.write.mode("append").partitionBy("topic").parquet(args.output)
-
-    per_vault = sq.q2_failures_stream_all_grains(_lines(spark, args, stream=True), grains)
-    w = (
-        per_vault.writeStream.outputMode("append")
-        .foreachBatch(sq.q2_details_batch_writer(write))
-        .option("checkpointLocation", f"{args.checkpoint}/{qname}-details")
-    )
-    q = (w.trigger(availableNow=True) if args.once else w).start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        # the raw lines are read and parsed once; every grain reads the slim records
+        records = sq.records_stream(lines, args.query, args.dedup_key)
+        schema, data = records.schema, f"{base}/records"
+        parse_ = records.writeStream.format("parquet").option("path", data).option("checkpointLocation", f"{base}/parse")
+        parse_ = _trigger(parse_.outputMode("append").queryName(f"{qname}_records"), args).start()
+        if args.once:
+            _await(parse_)
+        reader = spark.readStream.schema(schema)
+        if args.max_files:
+            reader = reader.option("maxFilesPerTrigger", args.max_files)
+        closed = [sq.windows_of_records(reader.parquet(data), args.query, grains, dedup_key=args.dedup_key), parse_]
+        finish = lambda batch: sq.finish_windows(batch, args.query)
+    q = closed[0].writeStream.outputMode("append").queryName(f"{qname}_all_grains").option("checkpointLocation", f"{base}/windows")
+    q = _trigger(q.foreachBatch(_batch_writer(spark, args, finish, grains)), args).start()
+    if not args.once and len(closed) > 1:
+        spark.streams.awaitAnyTermination()
+        for other in (q, closed[1]):
+            if other.exception() is not None:
+                raise RuntimeError(str(other.exception()))
+    _await(q)
     return [kafka_sink.topic_name(qname, g.label) for g in grains]
 
 
-def _write_metrics(spark: SparkSession, listener, started, path: str) -> None:
-    """SNK-7: the reference's metric log, one pair of lines per micro-batch and
-    query (cumulative emitted rows over time since the query started)."""
-    import time
+def _trigger(writer, args):
+    return writer.trigger(availableNow=True) if args.once else writer
 
-    from pyspark.sql import functions as F
 
-    expected = sum(len(q.recentProgress) for q in started)
-    for _ in range(100):  # listener events arrive asynchronously
-        if len(listener.records) >= expected:
-            break
-        time.sleep(0.1)
-    spark.streams.removeListener(listener)
-    m = listener.metrics(spark).where(F.col("n") > 0).withColumnRenamed("query", "grain")
-    file_sink.write_metric_log(m, path)
+def _await(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _batch_writer(spark: SparkSession, args, finish, grains: list[Grain]):
+    """``foreachBatch`` function: the results of the windows that a micro-batch closes, to the
+    chosen sink.  Files go to ``batch=<id>`` folders, which a replay overwrites; the
+    metric log gets its lines per grain with every micro-batch that emits rows."""
+    started, sent = time.time(), dict.fromkeys((g.label for g in grains), 0)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counted = Observation(f"batch {batch_id}")
+        rows = finish(batch).observe(counted, *(F.count_if(F.col("grain") == g.label).alias(g.label) for g in grains))
+        rows = rows.select(kafka_sink.topic_column(QUERY_NAMES[args.query]).alias("topic"), *[c for c in rows.columns if c != "grain"])
+        folder = f"batch={batch_id}"
+        if args.sink == "kafka":
+            kafka_sink.write_kafka(result_messages(rows, args.query), kafka_sink.kafka_sink_options(args.sink_bootstrap))
+        elif args.sink == "console":
+            rows.show(1000, truncate=False)
+        else:
+            out = rows.write.mode("overwrite").partitionBy("topic")
+            out.option("header", True).format(args.sink).save(f"{args.output}/{folder}")
+        if args.metrics:
+            elapsed = (time.time() - started) * 1000.0
+            new = counted.get
+            for label in sent:
+                sent[label] += new[label]
+            log = [(label, sent[label] / elapsed * 1000.0, elapsed / sent[label]) for label in sent if new[label]]
+            if log:
+                m = spark.createDataFrame(log, "grain string, rows_per_s double, ms_per_row double")
+                file_sink.write_metric_log(m, f"{args.metrics}/{folder}")
+
+    return write
+
+
+def result_messages(rows: DataFrame, query: str) -> DataFrame:
+    """Result rows as messages (topic, value).  Query 2 has one message per window: its
+    ranking line with the disks, where they were kept; other queries one per row."""
+    if query == "q2" and "disk_details" in rows.columns:
+        entry = F.concat(F.lit(", "), F.col("vault_id"), F.lit(", "), F.col("failures"), F.lit(" ("), F.col("disk_details"), F.lit(")"))
+        entries = F.array_sort(F.collect_list(F.struct("rank", entry.alias("text"))))
+        windows = rows.groupBy("topic", "ts").agg(entries.alias("entries"))
+        return windows.select("topic", F.concat("ts", F.array_join(F.transform("entries", lambda e: e.text), "")).alias("value"))
+    return rows.select("topic", tuple_text(*[c for c in rows.columns if c != "topic"]).alias("value"))
 
 
 def publish(spark: SparkSession, args) -> None:
-    """SNK-2: raw lines to Kafka, key = first field (header lines skipped)."""
-    lines = read_lines(spark, args.input).where(parse.not_header("value"))
+    """SNK-2: raw lines to Kafka, key = first field.  Lines without a timestamp, headers
+    among them, are not sent; ``--closing`` appends the lines that close every window.
+    Lines are sent in parallel: a consumer's watermark must allow for the spread."""
+    lines = read_lines(spark, args.input)
+    lines = with_closing(lines) if args.closing else lines
     kafka_sink.write_kafka(kafka_sink.publish_projection(lines), kafka_sink.kafka_sink_options(args.bootstrap, args.topic))
 
 
@@ -195,12 +206,15 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
     r.add_argument("--metrics", help="append throughput / latency log lines here (stream mode)")
     r.add_argument("--details", action="store_true", help="q2 stream: include the failed disks (foreachBatch ranking)")
+    r.add_argument("--max-files", dest="max_files", type=int, help="stream: record files of a micro-batch, at most")
+    r.add_argument("--rejects", help="batch: write rejected lines with their reason here")
     r.add_argument("--state-partitions", dest="state_partitions", type=int,
                    help="stream: state-store partitions, fixed at the first start of a checkpoint")
     pb = sub.add_parser("publish", help="raw lines to Kafka")
     pb.add_argument("--input", required=True)
     pb.add_argument("--bootstrap", required=True)
     pb.add_argument("--topic", default=kafka_src.INPUT_TOPIC)
+    pb.add_argument("--closing", action="store_true", help="append the lines that close every window")
     c = sub.add_parser("collect", help="result topics to files")
     c.add_argument("--bootstrap", required=True)
     c.add_argument("--output", required=True)
@@ -209,8 +223,20 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
-    args = parser().parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"vaultscope-{args.command}").getOrCreate()
+    options = parser()
+    args = options.parse_args(argv)
+    if args.command == "run":
+        need = {"--input or --bootstrap": args.input or args.bootstrap}
+        need["--output"] = args.output or (args.mode == "stream" and args.sink in ("console", "kafka"))
+        need["--checkpoint"] = args.checkpoint or args.mode == "batch"
+        need["--sink-bootstrap"] = args.sink_bootstrap or args.sink != "kafka"
+        if missing := [name for name, given in need.items() if not given]:
+            options.error(f"run needs {', '.join(missing)}")
+    if spark is None:
+        spark = (
+            SparkSession.builder.appName(f"vaultscope-{args.command}")
+            .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate()
+        )
     if args.command == "run":
         return run(spark, args)
     if args.command == "publish":

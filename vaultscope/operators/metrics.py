@@ -43,8 +43,7 @@ def emission_metrics(
     pos = group_positions(emitted, [group_col], order)
     if start is None:
         start = pos.groupBy(group_col).agg(F.min(first_col).alias("started_at"))
-    # ``start`` has one row per group: a bounded side, joined on the group key
-    joined = pos.join(F.broadcast(start), group_col)
+    joined = pos.join(start, group_col)
     if first_col in emitted.columns:
         emitted = emitted.drop(first_col)
     n = (F.col("_pos") + 1).cast("long")

@@ -284,7 +284,22 @@ def _lines_oracle(query: str, body: str, key: str = "serial_number") -> str:
 register(
     "lines_publish_keyed",
     lambda spark, d: kafka_sink.publish_projection(_lines(spark, d)),
-    f"with {text_src.lines_sql()}\nselect split_part(value, ',', 1) as key, value from lines",
+    f"with {text_src.lines_sql()}\nselect split_part(value, ',', 1) as key, value from lines "
+    "where regexp_full_match(split_part(value, ',', 1), '[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}[.][0-9]{6}') "
+    "and try_strptime(replace(split_part(value, ',', 1), 'T', ' '), '%Y-%m-%d %H:%M:%S.%f') is not null",
+)
+
+# SET-1: the lines that close every window of the data.
+register(
+    "closing_lines",
+    lambda spark, d: stream_run.closing_lines_for(_lines(spark, d)),
+    f"with {text_src.lines_sql()},\n"
+    "l as (select max(try_strptime(replace(split_part(value, ',', 1), 'T', ' '), '%Y-%m-%d %H:%M:%S.%f')) as last from lines),\n"
+    "c as (select greatest("
+    + ", ".join(f"(floor((epoch(last) - {g.offset_days * 86400}) / {g.size_days * 86400}) + 1) * {g.size_days * 86400} + {g.offset_days * 86400}" for g in GRAINS)
+    + ") + 86400 as secs from l where last is not null)\n"
+    "select strftime(make_timestamp(cast(secs * 1000000 as bigint)), '%Y-%m-%dT%H:%M:%S.%f') || ',closing,closing,1,' || vault || ',,,,,,,,1.0,,,,,,,,,,,,,2.5,,,,,,,,,,,,,' as value "
+    "from c, (select unnest([1000, 1120]) as vault)",
 )
 
 for _q in ("q1", "q2", "q3"):
@@ -407,7 +422,7 @@ register(
 register(
     "q3_csv_3days",
     lambda spark, d: file_sink.with_reference_header(
-        query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS), "query3-3days"
+        query3.power_on_quantiles(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS), "query3_3-days"
     ),
     "select ts, vault_id as vault_id1, count, min_hours as min, p25_hours as \"25perc\", p50_hours as \"50perc\", "
     "p75_hours as \"75perc\", max_hours as max from (" + _q3_oracle(THREE_DAYS) + ")",
@@ -465,7 +480,7 @@ register(
 
 register(
     "stream_q1_all_grains",
-    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), sq.q1_stream_all_grains, "q1all"),
+    lambda spark, d: stream_run.all_grains_over_lines(spark, _lines(spark, d), "q1", "q1all"),
     _lines_oracle("q1", "\nunion all\n".join(_q1_oracle(g, with_grain=True) for g in GRAINS)),
 )
 
@@ -483,9 +498,7 @@ register(
 
 register(
     "stream_q2_all_grains",
-    lambda spark, d: stream_run.stream_over_lines(
-        spark, _lines(spark, d), lambda s: sq.stream_all_grains(s, "q2"), "q2all"
-    ),
+    lambda spark, d: stream_run.all_grains_over_lines(spark, _lines(spark, d), "q2", "q2all"),
     f"with {text_src.lines_sql()},\n{text_src.parse_sql('q2')},\n"
     "t as (select ts, vault_id, failure, model, serial_number, s194, s9 from parsed where reject_reason is null)\n"
     + "\nunion all\n".join(
@@ -496,9 +509,7 @@ register(
 
 register(
     "stream_q3_all_grains",
-    lambda spark, d: stream_run.stream_over_lines(
-        spark, _lines(spark, d), lambda s: sq.stream_all_grains(s, "q3"), "q3all"
-    ),
+    lambda spark, d: stream_run.all_grains_over_lines(spark, _lines(spark, d), "q3", "q3all"),
     _lines_oracle(
         "q3",
         "\nunion all\n".join(

@@ -24,7 +24,7 @@ IDX_FAILURE = 3
 IDX_VAULT = 4
 IDX_POWER_ON_HOURS = 12
 IDX_TEMPERATURE = 25
-HEADER_PREFIX = "date"
+HEADER_PREFIX = "date,serial_number,model,failure,vault_id"
 TS_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_TEXT_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}$"
 INT_TEXT_RE = r"^[+-]?[0-9]+$"

@@ -41,9 +41,14 @@ def message_columns(messages: DataFrame, n: int, names: list[str] | None = None)
     return messages.select("topic", *[F.get(parts, i).alias(names[i]) for i in range(n)])
 
 
-def write_topic_csv(messages: DataFrame, path: str) -> None:
-    """SNK-4: append stripped messages under ``path/topic=<topic>/`` as text."""
-    messages.select("topic", strip_chars("value").alias("value")).write.mode("append").partitionBy("topic").text(path)
+def write_topic_csv(messages: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """SNK-4: stripped messages as text under ``path/topic=<topic>/``, appended, or under
+    ``path/batch=<batch_id>/topic=<topic>/``, which a replay of the batch overwrites."""
+    rows = messages.select("topic", strip_chars("value").alias("value"))
+    if batch_id is None:
+        rows.write.mode("append").partitionBy("topic").text(path)
+    else:
+        rows.write.mode("overwrite").partitionBy("topic").text(f"{path}/batch={batch_id}")
 
 
 def write_result_csv(result: DataFrame, path: str, header: bool = True) -> None:
@@ -52,10 +57,11 @@ def write_result_csv(result: DataFrame, path: str, header: bool = True) -> None:
 
 
 def foreach_batch_csv(path: str):
-    """``foreachBatch`` function writing each micro-batch of messages (SNK-4)."""
+    """``foreachBatch`` function writing each micro-batch of messages (SNK-4) once,
+    however often it is replayed."""
 
-    def _write(batch: DataFrame, _batch_id: int) -> None:
-        write_topic_csv(batch, path)
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        write_topic_csv(batch, path, batch_id)
 
     return _write
 

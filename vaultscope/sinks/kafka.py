@@ -11,17 +11,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schema as S
 from ..functions.text import tuple_text
 
 
+# The result topics by query and grain.
+TOPICS = {
+    "query1": {"1day": "query1-1day", "3days": "query1-3days", "alltime": "query1-all-time"},
+    "query2": {"1day": "query2_1-day", "3days": "query2_3-days", "alltime": "query2_all-time"},
+    "query3": {"1day": "query3_1-day", "3days": "query3_3-days", "alltime": "query3_all-time"},
+}
+
+
 def topic_name(query: str, grain_label: str) -> str:
-    """Topic per (query, grain): ``query1-1day``, ``query2-3days``, ..."""
-    return f"{query}-{grain_label}"
+    """The topic of a (query, grain); ``<query>-<grain>`` for grains of one's own."""
+    return TOPICS.get(query, {}).get(grain_label, f"{query}-{grain_label}")
+
+
+def topic_column(query: str, grain: str = "grain") -> Column:
+    """:func:`topic_name` of a grain column."""
+    out = F.concat(F.lit(f"{query}-"), F.col(grain))
+    for label, name in TOPICS.get(query, {}).items():
+        out = F.when(F.col(grain) == label, F.lit(name)).otherwise(out)
+    return out
 
 
 def publish_projection(lines: DataFrame, value: str = "value") -> DataFrame:
-    """SNK-2: key = first CSV field, value = the whole line."""
-    return lines.select(F.split(F.col(value), ",")[0].alias("key"), F.col(value).alias("value"))
+    """SNK-2: key = first CSV field, value = the whole line, of the lines whose first
+    field is a timestamp (headers and other lines are not sent)."""
+    key = F.split(F.col(value), ",")[0]
+    stamp = F.translate(key, "T", " ")
+    good = stamp.rlike(S.TS_TEXT_RE) & F.try_to_timestamp(stamp, F.lit(S.TS_PATTERN)).isNotNull()
+    return lines.where(good).select(key.alias("key"), F.col(value).alias("value"))
 
 
 def as_messages(result: DataFrame, topic: str | Column) -> DataFrame:

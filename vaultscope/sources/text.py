@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from .splits import spread
 from .telemetry import TELEMETRY_SQL
 
 # How a broken line is broken, by kind.
@@ -32,9 +31,8 @@ BREAK_EVERY = 97
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-5 batch: one row per line (``value``); the parser drops headers.
-    Few large files are spread over the cluster before parsing."""
-    return spread(spark.read.text(path))
+    """SRC-5 batch: one row per line (``value``); the parser drops headers."""
+    return spark.read.text(path)
 
 
 def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -46,9 +44,7 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def telemetry_lines(telemetry: DataFrame, break_every: int = BREAK_EVERY) -> DataFrame:
-    """``value``: one CSV line per telemetry record (narrow projection, after
-    :func:`~vaultscope.sources.splits.spread`)."""
-    telemetry = spread(telemetry)
+    """``value``: one CSV line per telemetry record (narrow projection)."""
     eid = F.col("event_id")
     broken = (eid % break_every) == 0
     kind = F.floor(eid / break_every) % len(BREAK_KINDS)
@@ -144,7 +140,7 @@ def parse_sql(query: str, key: str = "serial_number") -> str:
         f"f[{key_idx}] as k, "
         f"f[{S.IDX_TEMPERATURE + 1}] as t194, try_cast(f[{S.IDX_TEMPERATURE + 1}] as double) as s194, "
         f"f[{S.IDX_POWER_ON_HOURS + 1}] as t9, try_cast(f[{S.IDX_POWER_ON_HOURS + 1}] as double) as s9 "
-        "from (select value, string_split(value, ',') as f from lines where not starts_with(value, 'date')))"
+        "from (select value, string_split(value, ',') as f from lines where not starts_with(value, '" + S.HEADER_PREFIX + "')))"
     )
     tests = {
         "too_few_fields": f"n_fields < {S.MIN_FIELDS}",

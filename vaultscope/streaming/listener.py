@@ -29,6 +29,7 @@ class EmissionListener(StreamingQueryListener):
     def __init__(self) -> None:
         self._lock = threading.Lock()
         self._start: dict[str, dt.datetime] = {}
+        self._ended: dict[str, threading.Event] = {}
         self.records: list[dict] = []
 
     def onQueryStarted(self, event) -> None:
@@ -61,7 +62,16 @@ class EmissionListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self._end_of(str(event.id)).set()
+
+    def _end_of(self, query_id: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(query_id, threading.Event())
+
+    def wait(self, query) -> None:
+        """Until the end of a stopped query was seen; events are delivered in order,
+        so every micro-batch of it was seen before."""
+        self._end_of(str(query.id)).wait()
 
     def metrics(self, spark: SparkSession) -> DataFrame:
         """query, batch_id, input_rows, output_rows, n (cumulative), elapsed_ms,

@@ -74,6 +74,54 @@ def stream_all_grains(
     return out
 
 
+def records_stream(lines: DataFrame, query: str, dedup_key: str = "serial_number") -> DataFrame:
+    """The good records of ``query`` with what it needs only: the raw lines are read and
+    parsed once, into a sink that every grain's stream then reads."""
+    recs = parse.good_records(parse.parse_lines(lines, query, key=dedup_key))
+    if query == "q1":
+        return recs.select("ts", "vault_id", "s194")
+    return failed(recs).select("ts", "vault_id", "failure") if query == "q2" else recs.select("ts", "vault_id", dedup_key, "s9")
+
+
+def windows_of_records(
+    records: DataFrame, query: str, grains=GRAINS, watermark: str = WATERMARK, dedup_key: str = "serial_number"
+) -> DataFrame:
+    """The bounded first stage of every grain over a stream of :func:`records_stream`: one
+    value per (grain, window, vault), or per (grain, window, vault, key) for Query 3.
+    :func:`finish_windows` makes the results of a micro-batch of closed windows."""
+    recs = records.withWatermark("ts", watermark)
+    build = {
+        "q1": lambda g: temperature_stats(recs, g, Q1_VAULTS),
+        "q2": lambda g: recs.groupBy(g.window("ts").alias("window"), "vault_id").agg(F.sum("failure").cast("long").alias("failures")),
+        "q3": lambda g: _latest(select_q3(recs, Q3_VAULTS, dedup_key), g, dedup_key),
+    }[query]
+    out = None
+    for g in grains:
+        part = build(g).select(F.lit(g.label).alias("grain"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def finish_windows(closed: DataFrame, query: str, k: int = TOP_K) -> DataFrame:
+    """The query's rows, after ``grain``, of a micro-batch of closed windows (a window's
+    rows are all emitted in the batch that closes it): ranks and quantiles are the
+    batch operators', not lists in a stream's state."""
+    if query == "q1":
+        return closed
+    if query == "q2":
+        ranked = rank_top_k(closed, k, by=("grain",))
+        return ranked.select("grain", window_text("window.start").alias("ts"), "rank", "vault_id", "failures")
+    quantiles = hazen_quantiles(closed, ["grain", "window", "vault_id"], "s9")
+    hours = [F.col(c).alias(f"{c}_hours") for c in ("min", "p25", "p50", "p75", "max")]
+    return quantiles.select("grain", window_text("window.start").alias("ts"), "vault_id", "count", *hours)
+
+
+def _latest(records: DataFrame, grain: Grain, dedup_key: str) -> DataFrame:
+    return records.groupBy(grain.window("ts").alias("window"), "vault_id", dedup_key).agg(
+        F.max_by(F.col("s9"), F.struct("ts", "s9")).alias("s9")
+    )
+
+
 def q2_failures_stream(lines: DataFrame, grain: Grain = DAY, watermark: str = WATERMARK, disks: bool = True) -> DataFrame:
     """First stage of Query 2: window, vault_id, failures[, disks] per closed
     (window, vault).  ``disks`` (the failed disks of the vault-window, the
@@ -160,9 +208,7 @@ def q3_stream(
 
 def _q3_from_records(recs: DataFrame, grain: Grain, vaults, dedup_key: str, approx: bool = False) -> DataFrame:
     recs = select_q3(recs, vaults, dedup_key)
-    latest = recs.groupBy(grain.window("ts").alias("window"), "vault_id", dedup_key).agg(
-        F.max_by(F.col("s9"), F.struct("ts", "s9")).alias("s9")
-    )
+    latest = _latest(recs, grain, dedup_key)
     by_vault = latest.groupBy(grain.window(F.window_time("window")).alias("window"), "vault_id")
     if approx:
         x = F.col("s9")
@@ -188,9 +234,7 @@ def q3_latest_stream(
     """First stage of Query 3: window, vault_id, <key>, s9 (latest hours) per
     closed (window, vault, key).  State holds one value per key."""
     recs = select_q3(parsed_stream(lines, "q3", key=dedup_key, watermark=watermark), vaults, dedup_key)
-    return recs.groupBy(grain.window("ts").alias("window"), "vault_id", dedup_key).agg(
-        F.max_by(F.col("s9"), F.struct("ts", "s9")).alias("s9")
-    )
+    return _latest(recs, grain, dedup_key)
 
 
 def q3_quantiles_batch_writer(write):
