@@ -166,13 +166,12 @@ def repeated_spans(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
         edges.groupBy("h0", "h1").agg(F.min(F.struct("doc", "pos")).alias("s"), F.max("doc").alias("hi")).where("s.doc < hi")
         .select("h0", "h1", F.col("s.doc").alias("source"), F.col("s.pos").alias("source_pos"))
     )
-    on_path = edges.join(sources, ["h0", "h1"]).where("doc > source").select("doc", "pos", "source", "source_pos")
+    on_path = edges.join(sources, ["h0", "h1"]).where("doc > source").select("doc", "pos", "source", (F.col("pos") - F.col("source_pos")).alias("diagonal"))
     step = Window.partitionBy("doc", "source", "diagonal").orderBy("pos")
     paths = (
-        on_path.withColumn("diagonal", F.col("pos") - F.col("source_pos")).select("doc", "source", "diagonal", "pos").distinct()
-        .withColumn("run", F.col("pos") - F.row_number().over(step))
-        .groupBy("doc", "source", "diagonal", "run").agg(F.min("pos").alias("pos"), (F.count(F.lit(1)) + (size - 1)).cast("int").alias("n"))
-        .select("doc", "pos", "n", "source", (F.col("pos") - F.col("diagonal")).alias("source_pos"))
+        on_path.repartition("doc").withColumn("run", F.col("pos") - F.dense_rank().over(step))
+        .groupBy("doc", "source", "diagonal", "run").agg(F.min("pos").alias("pos"), F.max("pos").alias("last"))
+        .select("doc", "pos", (F.col("last") - F.col("pos") + size).alias("n"), "source", (F.col("pos") - F.col("diagonal")).alias("source_pos"))
     )
     return copies.union(paths)
 
