@@ -74,3 +74,27 @@ def test_q3_hot_group_is_split(spark):
     assert max(r.parts for r in hot.collect()) > 1
     q = query3.power_on_quantiles(src, DAY, vaults=(1000, 1001))
     assert q.count() > 0
+
+
+def test_few_values_in_a_hot_group_are_combined_before_the_ranking(spark):
+    """A third of all rows in one group of seven values: the ranking sees seven rows of it."""
+    from pyspark.sql import functions as F
+
+    from vaultscope.operators.quantiles import hazen_quantiles
+    from vaultscope.operators.ranking import group_positions
+
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("g"),
+        F.when(F.col("id") % 3 == 0, F.floor(F.col("id") / 3) % 7).otherwise(F.col("id")).cast("double").alias("v"),
+    )
+    weighted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("w"))
+    ranked = {r.v: (r._pos, r._n) for r in group_positions(weighted, ["g"], "v", weight="w").where("g = 0").collect()}
+    sizes = [len(range(v, 20_000, 7)) for v in range(7)]
+    assert ranked == {float(v): (sum(sizes[:v]), 20_000) for v in range(7)}
+    hot = hazen_quantiles(df, ["g"], "v").where("g = 0").first()
+    values = sorted(float(k % 7) for k in range(20_000))
+    for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        h = q * len(values) - 0.5
+        lo = int(h)
+        assert hot[name] == values[lo] + (h - lo) * (values[lo + 1] - values[lo])
+    assert (hot["count"], hot["min"], hot["max"]) == (20_000, 0.0, 6.0)

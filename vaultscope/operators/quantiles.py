@@ -60,15 +60,15 @@ def _h(q: float, n: Column) -> Column:
 
 def hazen_quantiles(df: DataFrame, group_cols: list[str], value: str, prefix: str = "") -> DataFrame:
     """group..., count, min, p25, p50, p75, max (names prefixed by ``prefix``)."""
-    ranked = group_positions(df, group_cols, value)
+    # equal values are one weighted row: combined before the shuffle, and no ties are left to cut
+    values = df.groupBy(*group_cols, value).agg(F.count(F.lit(1)).alias("_weight"))
+    ranked = group_positions(values, group_cols, value, weight="_weight")
     pos, n, x = F.col("_pos"), F.col("_n"), F.col(value)
-    aggs = [F.count(F.lit(1)).alias("count"), F.min(x).alias(f"{prefix}min")]
+    holds = lambda k: (pos <= k) & (k < pos + F.col("_weight"))
+    aggs = [F.sum("_weight").alias("count"), F.min(x).alias(f"{prefix}min")]
     for q, name in QUANTILES:
         lo = F.floor(_h(q, n))
-        aggs += [
-            F.max(F.when(pos == lo, x)).alias(f"_{name}_lo"),
-            F.max(F.when(pos == lo + 1, x)).alias(f"_{name}_hi"),
-        ]
+        aggs += [F.max(F.when(holds(lo), x)).alias(f"_{name}_lo"), F.max(F.when(holds(lo + 1), x)).alias(f"_{name}_hi")]
     aggs.append(F.max(x).alias(f"{prefix}max"))
     agg = ranked.groupBy(*group_cols).agg(*aggs)
     cnt = F.col("count")

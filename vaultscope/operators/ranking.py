@@ -32,11 +32,16 @@ def group_positions(
     group_cols: list[str],
     order_col: str | list[str],
     num_partitions: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Adds ``_pos`` (0-based position in ascending ``order_col`` within the
     group; ties in arbitrary but consistent order), ``_n`` (group size) and
     ``_pid`` (the range partition the row was ranked in).
 
+    With ``weight`` a row stands for that many rows: ``_pos`` is the position of its
+    first one and ``_n`` the sum of the group's weights.  Rows pre-aggregated to
+    (group, value, weight) leave no ties, however few values a hot group has.
+
     ``order_col`` may be a list (lexicographic order).  A NULL group value
     forms its own group.
     """
@@ -54,9 +59,8 @@ def group_positions(
         .withColumn("_mid", F.monotonically_increasing_id())
         .checkpoint(eager=True)
     )
-    per_part = ranged.groupBy("_pid", *group_cols).agg(
-        F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt")
-    )
+    rows = F.sum(weight) if weight else F.count(F.lit(1))
+    per_part = ranged.groupBy("_pid", *group_cols).agg(F.min("_mid").alias("_first"), rows.alias("_cnt"))
     by_group = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()
     offsets = per_part.select(
         "_pid",
@@ -70,9 +74,13 @@ def group_positions(
         F.col("_pid").alias("_o_pid"), *[F.col(c).alias(f"_o_{c}") for c in group_cols], "_first", "_before", "_n"
     )
     cond = [F.col("_pid") == F.col("_o_pid")] + [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in group_cols]
+    if weight:
+        here = Window.partitionBy("_pid", *group_cols).orderBy("_mid").rowsBetween(Window.unboundedPreceding, 0)
+        ranged = ranged.withColumn("_here", F.sum(weight).over(here) - F.col(weight))
+    within = F.col("_here") if weight else F.col("_mid") - F.col("_first")
     return ranged.join(o, cond).select(
         *df.columns,
-        (F.col("_mid") - F.col("_first") + F.col("_before")).alias("_pos"),
+        (within + F.col("_before")).alias("_pos"),
         "_n",
         "_pid",
     )
