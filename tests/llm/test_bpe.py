@@ -22,21 +22,22 @@ def own():
     return bpe.Encoder(bpe.read_ranks(RANKS), P.PATTERN)
 
 
-def test_rank_queue_pops_lowest_rank_then_position():
+def test_lowest_rank_and_then_leftmost_first():
+    """Against merging one pair at a time, over vocabularies whose merges can lower a neighbour's rank."""
     rng = random.Random(3)
-    queue, held = bpe.RankQueue(), []
-    for _ in range(3000):
-        if rng.random() < 0.6 or not held:
-            entry = (rng.randrange(50256), rng.randrange(1000))
-            queue.push(*entry)
-            held.append(entry)
-        else:
-            assert queue.pop() == min(held)
-            held.remove(min(held))
-    while held:
-        assert queue.pop() == min(held)
-        held.remove(min(held))
-    assert queue.pop() is None
+    for _ in range(300):
+        tokens = list({bytes(rng.choices(b"abc", k=rng.randrange(2, 5))) for _ in range(12)})
+        ranks = {x: k for k, x in enumerate(rng.sample([b"a", b"b", b"c", *tokens], len(tokens) + 3))}
+        ranks = {x: 300 * k for x, k in ranks.items()}  # several words of the bitmap
+        piece = bytes(rng.choices(b"abc", k=rng.randrange(1, 30)))
+        parts = [piece] if piece in ranks else [piece[i : i + 1] for i in range(len(piece))]
+        while True:
+            pairs = [(ranks[parts[i] + parts[i + 1]], i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in ranks]
+            if not pairs:
+                break
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        assert list(bpe.encode_piece(piece, ranks, bpe.bitmap_words(ranks))) == [ranks[x] for x in parts]
 
 
 def test_white_space_as_the_library_sees_it(tik, own):
