@@ -200,13 +200,15 @@ def _gate(families: list[Family], often: Counter) -> str:
 
 
 def background(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
-    """At most ``BACKGROUND`` paragraphs without the words licence and copyright, one of each of the documents of least hash."""
+    """At most ``BACKGROUND`` paragraphs without the words licence and copyright, one of each of the documents of
+    least hash.  Only hashes are ordered over all documents; texts are read of the chosen ones."""
     first = F.filter(F.split(text_col, "\n"), lambda p: p.rlike(r"[a-zA-Z0-9]") & ~p.rlike(r"(?i)licen[cs]e|copyright"))
-    rows = (
-        docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col, text_col).alias("h"), F.substring(F.get(first, 0), 1, LONGEST).alias("p"))
-        .where("p is not null").orderBy("h", "p").limit(BACKGROUND)
-    )
-    return [r.p for r in rows.collect()]
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(text_col))
+    least = texts.select("h").orderBy("h").limit(BACKGROUND).agg(F.max("h")).first()[0]
+    if least is None:
+        return []
+    rows = texts.where(F.col("h") <= least).select("h", F.substring(F.get(first, 0), 1, LONGEST).alias("p")).where("p is not null")
+    return [r.p for r in rows.orderBy("h", "p").limit(BACKGROUND).collect()]
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
