@@ -91,3 +91,19 @@ def test_odd_rows(spark):
     assert all(by[k].predicted == int(k % 4 == 0) for k in range(400))
     assert T.toxicity(docs.limit(0), labels).count() == 0
     assert {r.score for r in T.toxicity(docs, labels.limit(0)).collect()} == {0.0}
+
+
+def test_rare_entries_beside_many_ordinary_ones(spark):
+    """Ordinary words of every toxic text give more than 20,000 candidates of larger support."""
+    rng = random.Random(3)
+    pool = sorted({"".join(rng.sample("abcdefghijklmnopqrstuvwxy", 8)) for _ in range(7_100)}, key=lambda w: zlib.crc32(w.encode()))
+    marks, ordinary = pool[:40], pool[40:]  # a least word hash of its own for each text
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 3 != 1][:36]
+    rows = []
+    for n, k in enumerate(ids):
+        rng.shuffle(ordinary)
+        rows.append((k, " ".join([marks[n], *ordinary, *(["zodzod"] if n < 4 else [])])))
+    docs = spark.createDataFrame([*rows, (1000, "a zodzod here"), (1001, "a " + " ".join(ordinary[:50]))], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(n < 12)) for n, k in enumerate(ids)], "doc_id long, toxic int")
+    by = {r.doc_id: r.score for r in T.toxicity(docs, labels).collect()}
+    assert by[1000] > 0.6 and by[1001] < 0.1

@@ -27,7 +27,6 @@ from . import tokens
 from .shared import table
 
 TRAIN_ROWS = 30_000  # labelled rows the lexicon is learned from, at most
-LEXICON = 20_000  # entries, at most
 MIN_SUPPORT = 3  # toxic rows, copies counted once, that an entry needs
 MAX_CLEAN = 0.05  # clean rows that an entry may be in, as a share of its support
 SHRINK = 5.0  # rows at the base rate that each entry's precision is mixed with
@@ -194,9 +193,9 @@ def _entries(word: bytes) -> Iterable[bytes]:
             yield word[:n]
 
 
-def _evidence(cost_counts: np.ndarray, only: frozenset[bytes] | None):
-    """(entry, context, sketch, toxic, n) of labelled texts: each entry once a text, with its
-    least context; the sketch is the text's least word hash.  Copies mostly share both."""
+def _evidence(cost_counts: np.ndarray, apart: bool):
+    """(entry, context, sketch, toxic, n) of labelled texts: each entry once a text, ``apart`` with
+    its least context; the sketch is the text's least word hash.  Copies mostly share both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(cost_counts)
@@ -204,17 +203,16 @@ def _evidence(cost_counts: np.ndarray, only: frozenset[bytes] | None):
         for batch in batches:
             for text, toxic in zip(restorer.restored(batch.column(0)), batch.column(1).to_pylist()):
                 own: dict[bytes, int] = {}
-                sketch = min(map(zlib.crc32, text), default=0) if only is None else 0
+                sketch = min(map(zlib.crc32, text), default=0) if apart else 0
                 before = b""
                 for word in text:
                     if len(word) > 2:
-                        context = zlib.crc32(before + b" " + word)
+                        context = zlib.crc32(before + b" " + word) if apart else 0
                         for entry in _entries(word):
-                            if only is None or entry in only:
-                                own[entry] = min(own.get(entry, 1 << 62), context)
+                            own[entry] = min(own.get(entry, 1 << 62), context)
                     before = word
                 for entry, context in own.items():
-                    found[entry, context if only is None else 0, sketch, toxic] += 1
+                    found[entry, context, sketch, toxic] += 1
             if len(found) > 200_000:
                 yield _flush(found)
         yield _flush(found)
@@ -290,16 +288,15 @@ def toxicity(
     size = known.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
     base = size.toxic / size.n if size.n else 0.0
     schema = "entry binary, context long, sketch long, toxic int, n long"
-    held = (
-        known.where("toxic = 1").mapInArrow(_evidence(counts, None), schema)
+    support = (
+        known.where("toxic = 1").mapInArrow(_evidence(counts, True), schema)
         .groupBy("entry").agg(F.least(F.count_distinct("context"), F.count_distinct("sketch")).alias("support")).where(F.col("support") >= MIN_SUPPORT)
-        .orderBy(F.desc("support"), "entry").limit(LEXICON).collect()
-    )  # at most LEXICON rows
-    support = {bytes(row.entry): row.support for row in held}
-    clean = known.where("toxic = 0").mapInArrow(_evidence(counts, frozenset(support)), schema)
-    clean = {bytes(row.entry): row.n for row in clean.groupBy("entry").agg(F.sum("n").alias("n")).collect()}
-    lexicon = {e: (s + SHRINK * base) / (s + clean.get(e, 0) + SHRINK) for e, s in support.items()}
-    lexicon = {e: p for e, p in lexicon.items() if p > 0.5 and clean.get(e, 0) <= MAX_CLEAN * support[e]}
+    )
+    clean = known.where("toxic = 0").mapInArrow(_evidence(counts, False), schema).groupBy("entry").agg(F.sum("n").alias("clean"))
+    clean = support.join(clean, "entry", "left").select("entry", "support", F.coalesce("clean", F.lit(0)).alias("clean"))
+    precise = clean.withColumn("p", (F.col("support") + SHRINK * base) / (F.col("support") + F.col("clean") + SHRINK))
+    held = precise.where((F.col("p") > 0.5) & (F.col("clean") <= MAX_CLEAN * F.col("support"))).select("entry", "p").collect()
+    lexicon = {bytes(row.entry): row.p for row in held}  # at most the entries of the toxic rows among TRAIN_ROWS
     return texts.mapInArrow(_scores(counts, lexicon, 0.1 * base), "doc_id long, score double").select(
         "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
