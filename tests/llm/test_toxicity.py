@@ -107,3 +107,21 @@ def test_rare_entries_beside_many_ordinary_ones(spark):
     labels = spark.createDataFrame([(k, int(n < 12)) for n, k in enumerate(ids)], "doc_id long, toxic int")
     by = {r.doc_id: r.score for r in T.toxicity(docs, labels).collect()}
     assert by[1000] > 0.6 and by[1001] < 0.1
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("an 1 d 1 0 t", "an idiot"), ("s 7 u p 1 d", "stupid"), ("m . o . r . o . n", "moron"), ("1.d.1.0.t", "idiot"), ("the idio+", "the idiot"),
+        ("\"i d i o t\", he", "idiot he"), ("m. 0. r. 0. n!", "moron"), ("i-d-1-0-+", "idiot"), ("scum!", "scum"), ("1 2 3 - 4", ""), ("a, b, c", "a b c"),
+    ],
+)
+def test_mixed_disguises(restorer, text, want):
+    assert read(restorer, text) == [want]
+
+
+def test_doubled_letters_are_read_both_ways(restorer):
+    assert read(restorer, "iidiioot") == ["iidiioot idiot"]
+    assert read(restorer, "iidii0tt") == ["idiot"]
+    assert {"ass", "pass"} <= set(read(restorer, "ass pass!")[0].split())
+    assert read(restorer, "a", "a plain idio", "to", "x", "+end") == ["a", "a plain idio", "to", "x", read(restorer, "+end")[0]]

@@ -2,11 +2,12 @@
 
 1. A character trigram model is counted over all texts (its size is that of the
    alphabet, not of the corpus).
-2. Disguised stretches of a text (symbols or digits within words, letters set
-   apart, letters repeated) become lattices: a symbol may stand for letters, a
-   separator for nothing, a repeated letter for one.  Viterbi decoding under the
-   character model picks the likeliest reading.  Any other stretch has one path
-   only, itself.
+2. Disguised stretches of a text (symbols or digits in words, letters set apart,
+   letters repeated, or these mixed) become lattices: a symbol may stand for
+   letters, a separator for nothing, a repeated letter for one.  Viterbi decoding
+   under the character model picks the likeliest reading.  Other words are read as
+   they are; a word of letters with doubled ones is read both ways, as many
+   ordinary words have them.
 3. A lexicon of words and word starts is learned from the restored texts of a
    bounded sample of labelled rows; the score is a noisy-or over the entries a
    restored text holds.
@@ -14,6 +15,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -47,39 +49,58 @@ _SIGN = np.isin(np.arange(256), [ord(c) for c in STANDS_FOR])
 _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 _BETWEEN = np.isin(np.arange(256), [ord(c) for c in SEPARATORS[1:7]])
 _BLANK = bytes(c if _KIND[c] else 32 for c in range(256))
+_PLAIN = re.compile(rb"(?:([a-z])(?!\1\1)|[\x80-\xff])+")  # letters, none three times in a row
 
 
 def disguised(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
     """(start, end) of the stretches of lower-cased texts that have another reading.
 
-    Words with a sign, digit or separator between or beside letters, words with a
-    letter three times in a row, and three or more words of one letter.
+    Words of letters with a sign or digit beside one, with a separator between
+    letters, signs or digits, or with a letter twice in a row; and spaced runs:
+    three or more words of one letter, sign or digit, at least one a letter, with
+    separators beside or between them.
     """
     if not len(begin):
         return []
-    letter = _KIND[data] > 0
+    letter, sign, between = _KIND[data] > 0, _SIGN[data], _BETWEEN[data]
+    core = letter | sign
+    inner = np.ones(len(data), bool)  # bytes with another of their word before
+    inner[begin] = False
     mark = np.zeros(len(data), bool)
     if len(data) > 1:
-        mark[:-1] = _SIGN[data[:-1]] & letter[1:]
-        mark[1:] |= _DIGIT[data[1:]] & letter[:-1]
+        mark[1:] = inner[1:] & (
+            (sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:]) | (letter[1:] & (data[1:] < 128) & (data[1:] == data[:-1]))
+        )
     if len(data) > 2:
-        mark[1:-1] |= _BETWEEN[data[1:-1]] & letter[:-2] & letter[2:]
-        mark[2:] |= letter[2:] & (data[2:] < 128) & (data[2:] == data[1:-1]) & (data[1:-1] == data[:-2])
-    marks = np.concatenate([[0], np.cumsum(mark)])
-    odd = marks[end] > marks[begin]
-    one = (end - begin == 1) & letter[begin]
-    start = one.copy()
-    start[1:] &= ~one[:-1]
-    start[first[:-1][first[:-1] < len(one)]] |= one[first[:-1][first[:-1] < len(one)]]
+        mark[1:-1] |= inner[1:-1] & inner[2:] & between[1:-1] & core[:-2] & core[2:]
+
+    def upto(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(x)])
+
+    letters, cores, others = upto(letter), upto(core), upto(~core & ~between)
+    marks, calls = upto(mark), upto(data == ord("!"))
+    # other bytes at a word's ends stay out
+    place = np.arange(len(data))
+    low = np.minimum(np.minimum.accumulate(np.where(core, place, len(data))[::-1])[::-1][begin], end)
+    high = np.maximum(np.maximum.accumulate(np.where(core, place + 1, 0))[end - 1], begin)
+    n, called = cores[end] - cores[begin], calls[end] - calls[begin]
+    has = letters[end] > letters[begin]
+    odd = (marks[end] > marks[begin]) & has
+    unit = (n == 1) | (n - called == 1)
+    one = unit | ((n == 0) & (others[end] == others[begin]))
+    opens, closes = unit & (others[low] > others[begin]), unit & (others[end] > others[high])
+    start = one & opens
+    start[0] = one[0]
+    start[1:] |= one[1:] & (~one[:-1] | closes[:-1])
+    head = first[:-1][first[:-1] < len(one)]
+    start[head] |= one[head]
     run = np.cumsum(start) * one
-    apart = one & (np.bincount(run)[run] >= 3)
-    solid = np.maximum.accumulate(np.where(letter | _DIGIT[data], np.arange(1, len(data) + 1), 0))  # signs at a word's end stay out
-    out = [(int(begin[k]), int(solid[end[k] - 1])) for k in np.flatnonzero(odd & ~apart)]
-    if apart.any():
-        runs = run[apart]
-        edge = np.flatnonzero(np.diff(np.concatenate([[0], runs, [-1]])))
-        where = np.flatnonzero(apart)
-        out += [(int(begin[where[a]]), int(end[where[b - 1]])) for a, b in zip(edge[:-1], edge[1:])]
+    apart = one & (np.bincount(run, unit)[run] >= 3) & (np.bincount(run, has)[run] >= 1)
+    out = [(int(low[k]), int(high[k])) for k in np.flatnonzero(odd & ~apart)]
+    own = np.flatnonzero(apart & unit)
+    if len(own):
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], run[own], [-1]])))
+        out += [(int(low[own[a]]), int(high[own[b - 1]])) for a, b in zip(edge[:-1], edge[1:])]
     return sorted(out)
 
 
@@ -105,9 +126,10 @@ class Restorer:
     """Viterbi decoding of disguised stretches under a character trigram model."""
 
     # Channel costs (negative logs): a second and a further equal letter kept or dropped, a sign
-    # read as a letter or as a gap, a separator dropped or kept.
+    # read as a letter or as a gap, a separator dropped or kept, an exclamation mark at the end
+    # read as one.
     SECOND, SECOND_GONE, FURTHER, FURTHER_GONE = 0.5, 1.0, 4.0, 0.1
-    SIGN, SIGN_APART, JOIN, APART = 0.7, 7.0, 0.3, 2.0
+    SIGN, SIGN_APART, JOIN, APART, CALL = 0.7, 7.0, 0.3, 2.0, 0.3
     REMEMBERED = 50_000
 
     def __init__(self, counts: np.ndarray):
@@ -125,7 +147,8 @@ class Restorer:
         if c in SEPARATORS:
             return [("", self.JOIN), (" ", self.APART)]
         if c in STANDS_FOR:
-            return [(x, self.SIGN) for x in STANDS_FOR[c]] + [(" ", self.SIGN_APART)]
+            called = c == "!" and text[i + 1 : i + 2] in ("", "!")
+            return [(x, self.SIGN) for x in STANDS_FOR[c]] + [(" ", self.CALL if called else self.SIGN_APART)]
         if not i or text[i - 1] != c:
             return [(c, 0.0)]
         if i > 1 and text[i - 2] == c:
@@ -166,7 +189,11 @@ class Restorer:
         if got is None:
             if len(self.known) >= self.REMEMBERED:
                 self.known.clear()
-            got = self.known[stretch] = b" " + self.decode(stretch.decode(errors="ignore")).encode() + b" "
+            got = self.decode(stretch.decode(errors="ignore")).encode()
+            plain = stretch.rstrip(b"!")
+            if got.strip() != plain and _PLAIN.fullmatch(plain):
+                got = plain + b" " + got
+            got = self.known[stretch] = b" " + got + b" "
         return got
 
     def restored(self, column: pa.Array) -> Iterator[list[bytes]]:
