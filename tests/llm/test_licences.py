@@ -75,3 +75,21 @@ def test_odd_rows(spark):
     out = sorted(((r.doc_id, r.n_paragraphs, [f.paragraph for f in r.found], r.families) for r in L.scan_licences(df).collect()), key=str)
     assert out == [(1, 0, [], []), (2, 0, [], []), (3, 2, [3], ["mit"]), (3, 2, [3], ["mit"]), (4, 1, [1], ["mit"]), (None, 1, [1], ["mit"])]
     assert L.scan_licences(df.limit(0)).count() == 0
+
+
+WRAPPED = {
+    "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+    "mit": "Permission is hereby\ngranted, free of\ncharge, to any person\nobtaining a copy of\nthis software and\nassociated\ndocumentation files",
+}
+
+
+def test_wrapped_notices(spark, docs):
+    rows = [(n, f"some words\n\n{text}\n\nof stone") for n, text in enumerate(WRAPPED.values())]
+    rows += [(10, WRAPPED["gpl"].replace("\n", "\n\n")), (11, "Released under the MIT License. " + "river stone " * 30 + "Licensed under the Mozilla Public License, version 2.0.")]
+    rows += [(12, "\n".join(["Released under the MIT License.", "x", *WRAPPED.values()]))]
+    df = docs.select("doc_id", "text").where("doc_id > 100").union(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    out = {r.doc_id: r for r in L.scan_licences(df).where("doc_id <= 12").collect()}
+    assert [out[n].families for n in range(3)] == [[f] for f in WRAPPED]
+    assert [sum(f.confirmed for f in out[n].found) for n in range(3)] == [1, 1, 1]
+    assert out[10].families == [] and out[11].families == ["mit", "mpl"] and out[12].families == ["bsd", "gpl", "mit"]

@@ -90,6 +90,9 @@ OTHERS = [
 ]
 
 
+REACH = max(len(re.findall("[a-zA-Z0-9]+", s)) for sentences in TEMPLATES.values() for s in sentences)  # words of the longest template
+
+
 class Family(NamedTuple):
     name: str
     weights: dict[str, float]
@@ -156,8 +159,32 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _scored(paragraph: Column, families: list[Family]) -> Column:
-    """(family, probability, similarity, confirmed) of a paragraph, as a struct."""
+def _words(paragraph: Column) -> Column:
+    return F.regexp_extract_all(F.lower(paragraph), F.lit("([a-z0-9]+)"), 1)
+
+
+def _around(lines: Column, i: Column) -> Column:
+    """The words of line i (1-based) of the words of ``lines``, with as many of the lines around it, up to
+    one without words, as the longest template has."""
+    none = F.array().cast("array<string>")
+    before = F.aggregate(
+        F.slice(lines, F.greatest(i - REACH, F.lit(1)), F.least(i - 1, F.lit(REACH))), none,
+        lambda got, w: F.when(F.size(w) == 0, none).otherwise(F.concat(got, F.slice(w, F.greatest(F.size(w) - REACH + 1, F.lit(1)), REACH))),
+    )
+    after = F.aggregate(
+        F.slice(lines, i + 1, REACH), F.struct(none.alias("got"), F.lit(True).alias("on")),
+        lambda x, w: F.struct(
+            F.when(x.on, F.concat(x.got, F.slice(w, 1, REACH))).otherwise(x.got).alias("got"), (x.on & (F.size(w) > 0)).alias("on")
+        ),
+        lambda x: x.got,
+    )
+    before = _let(before, lambda w: F.slice(w, F.greatest(F.size(w) - REACH + 1, F.lit(1)), REACH))
+    return F.concat(before, F.element_at(lines, i), F.slice(after, 1, REACH))
+
+
+def _scored(words: Column, families: list[Family]) -> Column:
+    """(family, probability, similarity, confirmed) of a paragraph's words: the likeliest family's,
+    then those of every other confirmed one."""
     # constants go in as one text each, which the optimizer folds into one literal
     every = sorted(set().union(*(f.weights for f in families)))
     weights = {g: [f.weights.get(g, 0.0) for f in families] for g in every}
@@ -175,22 +202,31 @@ def _scored(paragraph: Column, families: list[Family]) -> Column:
         known = F.filter(F.transform(F.array_distinct(all_), lambda g: F.element_at(table, g)), lambda w: w.isNotNull())
         return F.aggregate(known, start, lambda sum_, w: F.zip_with(sum_, w, lambda a, b: a + b))
 
-    def verdict(words: Column, logits: Column) -> Column:
-        best = F.array_max(logits)
-        k = F.array_position(logits, best).cast("int")
-        own = run(words, 2)
-        like = F.array_max(
+    def like(own: Column, k: Column) -> Column:
+        return F.array_max(
             F.transform(F.element_at(pairs_of, k), lambda pairs: F.size(F.array_intersect(pairs, own)) / F.greatest(F.size(pairs), F.lit(1)))
         )
-        probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-best))
-        sure = probability >= LEAST
-        return F.struct(
+
+    def probability(logit: Column) -> Column:
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
+
+    def one(k: Column, logit: Column, own: Column) -> Column:
+        sure = probability(logit) >= LEAST
+        return _let(like(own, k), lambda similar: F.struct(
             F.when(sure, F.element_at(names, k)).otherwise(F.lit("unknown")).alias("family"),
-            probability.alias("probability"), like.alias("similarity"), (sure & (like >= SIMILAR)).alias("confirmed"),
-        )
+            probability(logit).alias("probability"), similar.alias("similarity"), (sure & (similar >= SIMILAR)).alias("confirmed"),
+        ))
+
+    def verdicts(own: Column, logits: Column) -> Column:
+        best = F.array_position(logits, F.array_max(logits)).cast("int")
+        first = one(best, F.array_max(logits), own)
+        sure = F.filter(F.sequence(F.lit(1), F.size(logits)), lambda k: (k != best) & (probability(F.element_at(logits, k)) >= LEAST))
+        more = F.filter(F.transform(sure, lambda k: one(k, F.element_at(logits, k), own)), lambda v: v.confirmed)
+        return F.concat(F.array(first), more)
 
-    words = F.regexp_extract_all(F.lower(paragraph), F.lit("([a-z0-9]+)"), 1)
-    return _let(words, lambda w: _let(weigh(F.concat(w, run(w, 2), run(w, 3))), lambda logits: verdict(w, logits)))
+    return _let(
+        words, lambda w: _let(run(w, 2), lambda own: _let(weigh(F.concat(w, own, run(w, 3))), lambda logits: verdicts(own, logits)))
+    )
 
 
 def _gate(families: list[Family], often: Counter) -> str:
@@ -218,7 +254,11 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_paragraphs, found (array of paragraph (1-based line), family, probability,
     similarity, confirmed; the family is ``unknown`` below the calibrated limit)
     for the paragraphs that hold a word of a positive weight and reach a
-    probability of 0.1, and families (sorted confirmed families).  Null and empty
+    probability of 0.1, and families (sorted confirmed families).  found has the
+    likeliest family of a line and every other confirmed one; a notice that is
+    wrapped over lines without an empty one between is scored with the words around
+    such a line, and comes once, at the first of its lines, if no single line near
+    confirms its family.  Null and empty
     texts have no paragraphs; null ids and repeated rows come back; other columns
     are ignored; an empty table gives no rows.
     """
@@ -226,11 +266,33 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     assert all(f.intercept < 0 for f in families)  # without positive weights no family is reached
     gate = _gate(families, often)
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    fields = ("family", "probability", "similarity", "confirmed")
     at = F.filter(F.transform(lines, lambda p, i: F.struct((i + 1).alias("paragraph"), p.alias("p"))), lambda x: x.p.rlike(gate))
-    found = F.transform(at, lambda x: F.struct(x.paragraph.alias("paragraph"), _scored(x.p, families).alias("v")))
-    found = F.filter(found, lambda x: x.v.probability >= 0.1)
-    found = F.transform(
-        found, lambda x: F.struct(x.paragraph.alias("paragraph"), *(x.v[c].alias(c) for c in ("family", "probability", "similarity", "confirmed")))
+
+    def scored(numbers: Column, words_of) -> Column:
+        every = lambda i: F.transform(
+            _scored(words_of(i), families), lambda v: F.struct(i.alias("paragraph"), *(v[c].alias(c) for c in fields))
+        )
+        return F.flatten(F.transform(numbers, every))
+
+    def wrapped(words: Column, numbers: Column, found: Column) -> Column:
+        """``found`` with the notices that only a line with its neighbours confirms, each once."""
+        some = F.filter(numbers, lambda i: (F.size(F.get(words, i - 2)) > 0) | (F.size(F.get(words, i)) > 0))
+        wide = F.filter(scored(some, lambda i: _around(words, i)), lambda v: v.confirmed)
+        near = lambda x, v: (x.family == v.family) & x.confirmed & (F.abs(x.paragraph - v.paragraph) <= REACH)
+        wide = F.filter(wide, lambda v: ~F.exists(found, lambda x: near(x, v)))
+        first = _let(wide, lambda all_: F.filter(all_, lambda v: ~F.exists(all_, lambda x: near(x, v) & (x.paragraph < v.paragraph))))
+        more = lambda m: F.when(F.size(m) > 0, F.array_sort(F.concat(found, m))).otherwise(found)
+        return _let(first, more)
+
+    def notices(numbers: Column, words: Column) -> Column:
+        single = F.filter(scored(numbers, lambda i: F.element_at(words, i)), lambda v: v.probability >= 0.1)
+        return _let(single, lambda found: wrapped(words, numbers, found))
+
+    none = F.expr("cast(array() as array<struct<paragraph: int, family: string, probability: double, similarity: double, confirmed: boolean>>)")
+    found = _let(
+        F.transform(at, lambda x: x.paragraph),
+        lambda numbers: F.when(F.size(numbers) == 0, none).otherwise(_let(F.transform(lines, _words), lambda words: notices(numbers, words))),
     )
     one = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
