@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure
 from . import bpe
+from .conversations import damaged, repair_conversations
 from .licences import scan_licences
 from .linededup import line_dedup
 from .mixing import mix_sources
@@ -196,3 +197,80 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_licences"] = op8_licences
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(_read(spark, sf_dir, "conversations")), copies="copies")
+
+
+QUERIES["op13_conversation_repair"] = op13_conversation_repair
+
+
+def _repair_sql() -> str:
+    """The repair as a recursive query over the turns: a struct (cost, audit, lines) per state."""
+    follows = {"x": "u", "s": "u", "u": "a", "a": "u"}
+    names = {"u": "user", "a": "assistant"}
+    into: dict[str, list[str]] = {q: [] for q in follows}
+
+    def edge(src: str, dst: str, cost: str, letters: str, lines: list[str], when: str) -> None:
+        added = f"list_concat({src}.o, [{', '.join(lines)}])" if lines else f"{src}.o"
+        into[dst].append(f"case when {src} is not null and {when} then {{'c': {src}.c + {cost}, 'a': {src}.a || '{letters}', 'o': {added}}} end")
+
+    for q, then in follows.items():
+        edge(q, q, "3", "D", [], "true")
+        blank = f"'{names[then]}:'"
+        for at, letters, cost, lines in ((q, "", "0", []), (then, "I", "2", [blank])):
+            keeps = {follows[at]} | ({"s"} if at == "x" else set())
+            for k in keeps:
+                edge(q, k, f"{cost} + cut::int", letters + "K", [*lines, "role || ':' || text"], f"not forced and ini = '{k}'")
+            to = follows[at]
+            edge(q, to, f"{cost} + 2 + cut::int", letters + "R", [*lines, f"'{names[to]}:' || text"], "not forced")
+    least = {q: f"list_sort(list_filter([{', '.join(c)}], lambda z: z is not null))[1]" for q, c in into.items()}
+    return f"""
+with recursive tab as (
+  select list(list_reduce(list_prepend(n, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by n) as t
+  from range(256) as r(n)),
+h as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::bigint, list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ascii(x)::bigint)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 as kind
+  from conversations, tab),
+e as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end as text,
+    unnest(range(case when kind = 0 then 0 when kind = 3 then 2 else 1 end)) as copy from h),
+f as (
+  select *, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare, left(role, 1) as ini,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
+    row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+    lag(left(role, 1)) over (partition by conv_id order by turn nulls first, role, text, copy) as pre from e),
+g as (
+  select *, bare = '' as blank, again and bare <> '' as dup, bare <> '' and not again and right(bare, 1) not in ('.', '!', '?') as cut,
+    bare = '' or again as forced from f),
+c as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (dup) as duplicate, count(*) filter (cut) as truncated,
+    count(*) filter (pre is not null and pre || ini not in ('su', 'ua', 'au')) as illegal from g group by conv_id),
+p as (
+  select conv_id, n, 0::bigint as pos, {{'c': 0::bigint, 'a': '', 'o': []::varchar[]}} as x,
+    null::struct(c bigint, a varchar, o varchar[]) as s, null::struct(c bigint, a varchar, o varchar[]) as u, null::struct(c bigint, a varchar, o varchar[]) as a
+  from c
+  union all
+  select p.conv_id, n, pos + 1, {least['x']}, {least['s']}, {least['u']}, {least['a']}
+  from p join g on g.conv_id is not distinct from p.conv_id and g.i = p.pos + 1),
+q as (
+  select conv_id, list_sort(list_filter([x, a,
+    case when u is not null then {{'c': u.c + 2, 'a': u.a || 'I', 'o': list_append(u.o, 'assistant:')}} end,
+    case when s is not null then {{'c': s.c + 4, 'a': s.a || 'II', 'o': list_concat(s.o, ['user:', 'assistant:'])}} end], lambda z: z is not null))[1] as best
+  from p where pos = n)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.c, 0)::bigint as cost,
+  coalesce(best.a, '') as audit, sha256(coalesce(array_to_string(best.o, chr(10)), '')) as repaired_sha256,
+  coalesce(len(best.o), 0)::bigint as n_turns
+from (select distinct conv_id from conversations) o
+left join c on c.conv_id is not distinct from o.conv_id left join q on q.conv_id is not distinct from o.conv_id
+"""
+
+
+ORACLES["op13_conversation_repair"] = _repair_sql()
