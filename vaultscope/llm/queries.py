@@ -18,6 +18,7 @@ from .licences import scan_licences
 from .linededup import line_dedup
 from .mixing import mix_sources
 from .neardup import near_duplicates
+from .negatives import hard_negatives
 from .neighbours import nearest_neighbours
 from .quality import quality_rules
 from .substrings import remove_repeats
@@ -274,3 +275,32 @@ left join c on c.conv_id is not distinct from o.conv_id left join q on q.conv_id
 
 
 ORACLES["op13_conversation_repair"] = _repair_sql()
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, rows.where("vec_id % 100 = 0"))
+
+
+QUERIES["op12_hard_negatives"] = op12_hard_negatives
+
+ORACLES["op12_hard_negatives"] = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (
+  select a.vec_id as a, b.vec_id as b, a.label = b.label as alike,
+    list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::bigint as s
+  from e a join e b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+g as (select * from p where alike qualify row_number() over (partition by a order by s desc, b) <= 5),
+n as (
+  select g.a as anchor_id, g.b as positive_id,
+    row_number() over (partition by g.a, g.b order by p.s desc, p.b) as rank,
+    p.b as negative_id, g.s as positive_score, p.s as negative_score
+  from g join p on p.a = g.a and not p.alike and 80 * g.s <= 100 * p.s and 100 * p.s <= 100 * g.s)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n where rank <= 5
+"""
