@@ -50,6 +50,74 @@ def test_run_batch_and_stream_agree(spark, line_folder, scratch, query):
         assert _rows(s.select(*b.columns)) == _rows(b)
 
 
+@pytest.mark.parametrize("query, more", [("q1", []), ("q2", []), ("q2", ["--no-details"]), ("q3", ["--dedup-key", "model"])])
+def test_closed_run_equals_batch(spark, line_folder, scratch, query, more):
+    """--once --close: every window of every grain is there without closing lines in the input,
+    and running it again changes nothing."""
+    inp = os.path.join(line_folder, "in", "a")
+    out_b, out_s = os.path.join(scratch, "b"), os.path.join(scratch, "s")
+    given = ["run", "--query", query, "--input", inp, *more]
+    names = jobs.main([*given, "--output", out_b, "--mode", "batch"], spark=spark)
+    for _ in range(2):
+        jobs.main([*given, "--output", out_s, "--once", "--close", "--checkpoint", os.path.join(scratch, "ck")], spark=spark)
+        streamed = spark.read.parquet(out_s)
+        for name in names:
+            s = streamed.where(streamed.topic == name).drop("topic", "batch")
+            b = spark.read.parquet(os.path.join(out_b, name)).select(*s.columns)
+            assert _rows(s) == _rows(b) and b.count() > 0
+
+
+def test_restart_halfway_and_rejects_of_a_stream(spark, scratch):
+    """A stream that stops after a part of the lines and goes on from its checkpoint gives the
+    batch result, each reject once, and a metric log whose counts go on."""
+    from vaultscope.functions import parse
+    from vaultscope.operators.metrics import parse_metric_log
+
+    lines = telemetry_lines(telemetry(spark, SF_ORACLE))
+    days = [r[0] for r in lines.selectExpr("substring(value, 1, 10) as day").distinct().orderBy("day").collect() if r[0][:2] == "20"]
+    cut = days[len(days) // 2]
+    inp, out, rejects, log = (os.path.join(scratch, x) for x in ("in", "out", "rejects", "log"))
+    given = ["run", "--query", "q2", "--input", inp + "/*", "--output", out, "--checkpoint", os.path.join(scratch, "ck"), "--once",
+             "--rejects", rejects, "--metrics", log]
+    counts = []
+    for k, part in enumerate((lines.where(f"substring(value, 1, 10) < '{cut}'"), lines.where(f"not (substring(value, 1, 10) < '{cut}')"))):
+        part.coalesce(2).write.text(os.path.join(inp, f"part-{k}"))
+        jobs.main(given if k == 0 else [*given, "--close"], spark=spark)
+        counts.append(spark.read.parquet(out).count())
+    assert 0 < counts[0] < counts[1]
+    streamed = spark.read.parquet(out)
+    for g in jobs.GRAINS:
+        s = streamed.where(streamed.topic == kafka_sink.topic_name("query2", g.label)).drop("topic", "batch")
+        assert _rows(s) == _rows(jobs.batch_result(lines, "q2", g).select(*s.columns))
+    want = parse.rejects(parse.parse_lines(lines, "q2"))
+    have = spark.read.parquet(rejects)
+    assert sorted(map(tuple, have.collect())) == sorted(map(tuple, want.select(*have.columns).collect()))
+    sent = spark.read.parquet(os.path.join(scratch, "ck", "query2", "emitted"))
+    last = {r.grain: r.sent for r in sent.collect() if r.batch == max(x.batch for x in sent.collect())}
+    totals = {g.label: streamed.where(streamed.topic == kafka_sink.topic_name("query2", g.label)).count() for g in jobs.GRAINS}
+    assert last == totals and sent.select("started").distinct().count() == 1
+    assert parse_metric_log(spark.read.text(log).select("value")).count() > 0
+
+
+def test_replayed_batch_leaves_the_metric_log_of_one_run(spark, scratch):
+    from vaultscope.sinks.files import log_emissions
+
+    state, log = os.path.join(scratch, "state"), os.path.join(scratch, "log")
+    for batch, n in ((0, 3), (1, 5), (1, 5), (2, 2), (2, 2)):
+        log_emissions(spark, state, log, batch, {"1day": n, "3days": 0}, begun=1000.0 + batch)
+    rows = {(r.batch, r.grain): (r.started, r.sent) for r in spark.read.parquet(state).collect()}
+    assert rows == {(b, g): (1000.0, n) for b, n1 in enumerate((3, 8, 10)) for g, n in (("1day", n1), ("3days", 0))}
+    assert spark.read.text(log).count() == 6  # two lines for each batch, none of them twice
+
+
+def test_console_shows_every_row(spark, scratch, capfd):
+    args = jobs.parser().parse_args(["run", "--query", "q1", "--sink", "console", "--checkpoint", scratch])
+    write = jobs._batch_writer(spark, args, lambda batch: batch, list(jobs.GRAINS))
+    write(spark.range(1500).selectExpr("'1day' as grain", "concat('row-', id, '.') as ts", "1000 as vault_id", "id as count"), 0)
+    shown = capfd.readouterr().out
+    assert all(f"row-{k}." in shown for k in range(1500)) and "only showing" not in shown
+
+
 def test_stream_run_writes_metric_log(spark, line_folder, scratch):
     from vaultscope.operators.metrics import parse_metric_log
 

@@ -7,10 +7,11 @@ publisher and result consumer.
 
 ``run`` computes the query for every grain and writes one output per
 (query, grain), named like its topic (see ``sinks/kafka.TOPICS``).  In
-stream mode one query reads and parses the lines once into slim records under
-``--checkpoint``, and a second one computes every grain from them: file sinks are
-partitioned by micro-batch and ``topic``, the Kafka sink routes each row to its
-topic.  ``--once`` processes what is available and stops.  Input is a folder of raw text lines or a Kafka topic.
+stream mode one query parses the lines once and computes every grain; for rejects and
+for Query 2's disks the parsed rows are a table under ``--checkpoint`` first.  File sinks
+are partitioned by micro-batch and ``topic``, the Kafka sink routes each row to its
+topic.  ``--once`` processes what is available and stops; with ``--close`` it then closes
+the last windows too.  Input is a folder of raw text lines or a Kafka topic.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from .sinks import kafka as kafka_sink
 from .sources import kafka as kafka_src
 from .sources.text import read_lines, read_lines_stream
 from .streaming import queries as sq
-from .streaming.run import with_closing
+from .streaming import rollup, staged
+from .streaming.run import closing_moment, finished, line_time, with_closing
 from .windows import GRAINS, Grain
 
 QUERY_NAMES = {"q1": "query1", "q2": "query2", "q3": "query3"}
@@ -63,94 +65,130 @@ def _lines(spark: SparkSession, args, stream: bool) -> DataFrame:
     if args.bootstrap:
         opts = kafka_src.kafka_source_options(args.bootstrap, args.topic, starting=args.starting)
         return kafka_src.read_kafka_lines(spark, opts, stream=stream).select("value")
-    return read_lines_stream(spark, args.input) if stream else read_lines(spark, args.input)
+    return read_lines_stream(spark, args.input, args.max_files) if stream else read_lines(spark, args.input)
 
 
 def run(spark: SparkSession, args) -> list[str]:
     """Compute ``args.query`` for every grain; returns the output names."""
     grains = [g for g in GRAINS if not args.grains or g.label in args.grains]
-    names = []
     if args.mode == "batch":
-        configure(spark)
-        lines = _lines(spark, args, stream=False)
-        if args.rejects:
-            parse.rejects(parse.parse_lines(lines, args.query, key=args.dedup_key)).write.mode("overwrite").parquet(args.rejects)
-        for g in grains:
-            name = kafka_sink.topic_name(QUERY_NAMES[args.query], g.label)
-            batch_result(lines, args.query, g, args.dedup_key).write.mode("overwrite").parquet(f"{args.output}/{name}")
-            names.append(name)
-        return names
+        return _run_batch(spark, args, grains)
     configure_streaming(spark)
     if args.state_partitions:
         # fixed for the life of the checkpoint: set it before the first start
         spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
-    qname = QUERY_NAMES[args.query]
-    lines, base = _lines(spark, args, stream=True), f"{args.checkpoint}/{qname}"
-    if args.query == "q2" and args.details:
-        # the disks of every failing (grain, window, vault) are part of the result
-        closed = [sq.q2_failures_stream_all_grains(lines, grains)]
-        finish = sq.rank_closed_windows
+    if args.once:
+        for q in _start(spark, args, grains):
+            finished(q)
+        if args.close:
+            _write_closing(spark, args)
+            for q in _start(spark, args, grains):
+                finished(q)
     else:
-        # the raw lines are read and parsed once; every grain reads the slim records
-        records = sq.records_stream(lines, args.query, args.dedup_key)
-        schema, data = records.schema, f"{base}/records"
-        parse_ = records.writeStream.format("parquet").option("path", data).option("checkpointLocation", f"{base}/parse")
-        parse_ = _trigger(parse_.outputMode("append").queryName(f"{qname}_records"), args).start()
-        if args.once:
-            _await(parse_)
-        reader = spark.readStream.schema(schema)
-        if args.max_files:
-            reader = reader.option("maxFilesPerTrigger", args.max_files)
-        closed = [sq.windows_of_records(reader.parquet(data), args.query, grains, dedup_key=args.dedup_key), parse_]
-        finish = lambda batch: sq.finish_windows(batch, args.query)
-    q = closed[0].writeStream.outputMode("append").queryName(f"{qname}_all_grains").option("checkpointLocation", f"{base}/windows")
-    q = _trigger(q.foreachBatch(_batch_writer(spark, args, finish, grains)), args).start()
-    if not args.once and len(closed) > 1:
+        started = _start(spark, args, grains)
         spark.streams.awaitAnyTermination()
-        for other in (q, closed[1]):
-            if other.exception() is not None:
-                raise RuntimeError(str(other.exception()))
-    _await(q)
-    return [kafka_sink.topic_name(qname, g.label) for g in grains]
+        for q in started:
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+    return [kafka_sink.topic_name(QUERY_NAMES[args.query], g.label) for g in grains]
 
 
-def _trigger(writer, args):
-    return writer.trigger(availableNow=True) if args.once else writer
+def _run_batch(spark: SparkSession, args, grains: list[Grain]) -> list[str]:
+    configure(spark)
+    lines = _lines(spark, args, stream=False)
+    if args.rejects:
+        parse.rejects(parse.parse_lines(lines, args.query, key=args.dedup_key)).write.mode("overwrite").parquet(args.rejects)
+    names = []
+    for g in grains:
+        name = kafka_sink.topic_name(QUERY_NAMES[args.query], g.label)
+        batch_result(lines, args.query, g, args.dedup_key).write.mode("overwrite").parquet(f"{args.output}/{name}")
+        names.append(name)
+    return names
 
 
-def _await(q) -> None:
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+def _base(args) -> str:
+    return f"{args.checkpoint}/{QUERY_NAMES[args.query]}"
+
+
+def _staged(args) -> bool:
+    """Whether the parse stage writes a table: for rejects and for the disks of Query 2."""
+    return bool(args.rejects) or (args.query == "q2" and args.details)
+
+
+def _records(spark: SparkSession, args, parsed_schema=None) -> DataFrame:
+    """The stream of records and of closing records (``closing``: they only move the watermark)."""
+    if parsed_schema is not None:
+        records = staged.records_stream(spark, f"{_base(args)}/parsed", parsed_schema, args.max_files)
+    else:
+        good = parse.good_records(parse.parse_lines(_lines(spark, args, stream=True), args.query, key=args.dedup_key))
+        records = rollup.select_records(good, args.query, args.dedup_key)
+    folder = f"{_base(args)}/closing"
+    spark.createDataFrame([], "ts timestamp").write.mode("ignore").parquet(folder)
+    closing = spark.readStream.schema("ts timestamp").parquet(folder).withColumn("closing", F.lit(True))
+    return records.withColumn("closing", F.lit(False)).unionByName(closing, allowMissingColumns=True)
+
+
+def _start(spark: SparkSession, args, grains: list[Grain]) -> list:
+    """Starts the job's queries.  One query parses the lines and makes every grain, or, where
+    the parsed rows are needed again, one parses them into a table that the others read; with
+    ``--once`` each stage is done before the next one starts."""
+    trigger = (lambda w: w.trigger(availableNow=True)) if args.once else (lambda w: w)
+    base, qname, schema, started = _base(args), QUERY_NAMES[args.query], None, []
+    parsed = f"{base}/parsed"
+    if _staged(args):
+        rows = staged.parsed_rows(_lines(spark, args, stream=True), args.query, args.dedup_key)
+        schema = rows.schema
+        started.append(staged.start_parse(rows, args.query, parsed, f"{base}/parse", trigger))
+        if args.once:
+            finished(started[-1])
+        if args.rejects:
+            started.append(staged.start_rejects(spark, parsed, schema, args.rejects, f"{base}/rejects", trigger))
+    if args.query == "q2" and args.details:
+        finish = lambda batch: staged.ranked_disks_of_windows(spark, batch, parsed, tuple(grains))
+    else:
+        finish = lambda batch: rollup.finish_closed(batch, args.query)
+    closed = rollup.closed_windows(_records(spark, args, schema), args.query, grains, dedup_key=args.dedup_key)
+    q = closed.writeStream.outputMode("append").queryName(f"{qname}_all_grains").option("checkpointLocation", f"{base}/windows")
+    started.append(trigger(q.foreachBatch(_batch_writer(spark, args, finish, grains))).start())
+    return started
+
+
+def _write_closing(spark: SparkSession, args) -> None:
+    """STR-6: one record past the end of every window that holds the last record, so that all
+    of them close.  It has no vault, so no result shows it; records older than it that come
+    later are late."""
+    if _staged(args):
+        last = spark.read.parquet(f"{_base(args)}/parsed").where(~F.col("rejected")).agg(F.max("ts").alias("last"))
+    else:
+        last = _lines(spark, args, stream=False).agg(F.max(line_time("value")).alias("last"))
+    last.where("last is not null").select(closing_moment("last").alias("ts")).write.mode("append").parquet(f"{_base(args)}/closing")
 
 
 def _batch_writer(spark: SparkSession, args, finish, grains: list[Grain]):
     """``foreachBatch`` function: the results of the windows that a micro-batch closes, to the
-    chosen sink.  Files go to ``batch=<id>`` folders, which a replay overwrites; the
-    metric log gets its lines per grain with every micro-batch that emits rows."""
-    started, sent = time.time(), dict.fromkeys((g.label for g in grains), 0)
+    chosen sink.  Files go to ``batch=<id>`` folders, which a replay overwrites."""
+    begun = time.time()
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        if batch.isEmpty():
+            batch.unpersist()
+            return
         counted = Observation(f"batch {batch_id}")
         rows = finish(batch).observe(counted, *(F.count_if(F.col("grain") == g.label).alias(g.label) for g in grains))
         rows = rows.select(kafka_sink.topic_column(QUERY_NAMES[args.query]).alias("topic"), *[c for c in rows.columns if c != "grain"])
-        folder = f"batch={batch_id}"
         if args.sink == "kafka":
             kafka_sink.write_kafka(result_messages(rows, args.query), kafka_sink.kafka_sink_options(args.sink_bootstrap))
         elif args.sink == "console":
-            rows.show(1000, truncate=False)
+            rows = rows.persist()
+            rows.show(rows.count(), truncate=False)  # all of them: a micro-batch's result rows are few
+            rows.unpersist()
         else:
             out = rows.write.mode("overwrite").partitionBy("topic")
-            out.option("header", True).format(args.sink).save(f"{args.output}/{folder}")
+            out.option("header", True).format(args.sink).save(f"{args.output}/batch={batch_id}")
         if args.metrics:
-            elapsed = (time.time() - started) * 1000.0
-            new = counted.get
-            for label in sent:
-                sent[label] += new[label]
-            log = [(label, sent[label] / elapsed * 1000.0, elapsed / sent[label]) for label in sent if new[label]]
-            if log:
-                m = spark.createDataFrame(log, "grain string, rows_per_s double, ms_per_row double")
-                file_sink.write_metric_log(m, f"{args.metrics}/{folder}")
+            file_sink.log_emissions(spark, f"{args.checkpoint}/{QUERY_NAMES[args.query]}/emitted", args.metrics, batch_id, counted.get, begun)
+        batch.unpersist()
 
     return write
 
@@ -204,10 +242,11 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--grains", nargs="*", help="subset of grain labels (default: all)")
     r.add_argument("--dedup-key", dest="dedup_key", default="serial_number", choices=["serial_number", "model"])
     r.add_argument("--once", action="store_true", help="process what is available, then stop")
-    r.add_argument("--metrics", help="append throughput / latency log lines here (stream mode)")
-    r.add_argument("--details", action="store_true", help="q2 stream: include the failed disks (foreachBatch ranking)")
-    r.add_argument("--max-files", dest="max_files", type=int, help="stream: record files of a micro-batch, at most")
-    r.add_argument("--rejects", help="batch: write rejected lines with their reason here")
+    r.add_argument("--close", action="store_true", help="with --once: close the last windows when the input is done")
+    r.add_argument("--metrics", help="throughput / latency log lines per micro-batch go here (stream mode)")
+    r.add_argument("--details", action=argparse.BooleanOptionalAction, default=True, help="q2: the ranked vaults' failed disks")
+    r.add_argument("--max-files", dest="max_files", type=int, help="stream: input files of a micro-batch, at most")
+    r.add_argument("--rejects", help="write rejected lines with their reason here")
     r.add_argument("--state-partitions", dest="state_partitions", type=int,
                    help="stream: state-store partitions, fixed at the first start of a checkpoint")
     pb = sub.add_parser("publish", help="raw lines to Kafka")

@@ -486,13 +486,13 @@ register(
 
 register(
     "stream_q2_top_vaults_3days",
-    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q2_stream(s, THREE_DAYS), "q2"),
+    lambda spark, d: stream_run.closed_windows_over_lines(spark, _lines(spark, d), "q2", THREE_DAYS, "q2"),
     _lines_oracle("q2", f", {_q2_ranked_sql(THREE_DAYS)}\nselect {_fmt('w')} as ts, rank, vault_id, failures from r"),
 )
 
 register(
     "stream_q3_3days",
-    lambda spark, d: stream_run.stream_over_lines(spark, _lines(spark, d), lambda s: sq.q3_stream(s, THREE_DAYS), "q3"),
+    lambda spark, d: stream_run.closed_windows_over_lines(spark, _lines(spark, d), "q3", THREE_DAYS, "q3"),
     _lines_oracle("q3", _q3_oracle(THREE_DAYS).replace(f"with t as ({TELEMETRY_SQL})\n", "")),
 )
 
@@ -507,6 +507,17 @@ register(
     ),
 )
 
+register(
+    "stream_q2_details_all_grains",
+    lambda spark, d: stream_run.all_grains_over_lines(spark, _lines(spark, d), "q2", "q2details", details=True),
+    f"with {text_src.lines_sql()},\n{text_src.parse_sql('q2')},\n"
+    "t as (select ts, vault_id, failure, model, serial_number, s194, s9 from parsed where reject_reason is null)\n"
+    + "\nunion all\n".join(
+        f"(with {_q2_ranked_sql(g)}\nselect '{g.label}' as grain, {_fmt('w')} as ts, rank, vault_id, failures, disk_details from x)"
+        for g in GRAINS
+    ),
+)
+
 register(
     "stream_q3_all_grains",
     lambda spark, d: stream_run.all_grains_over_lines(spark, _lines(spark, d), "q3", "q3all"),

@@ -8,7 +8,9 @@ one folder per topic, many part files, written in parallel by the executors.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import split_fields, strip_chars
@@ -67,5 +69,29 @@ def foreach_batch_csv(path: str):
 
 
 def write_metric_log(metrics: DataFrame, path: str) -> None:
-    """SNK-7: two text lines per metric row, appended."""
-    metric_log_lines(metrics).write.mode("append").text(path)
+    """SNK-7: two text lines per metric row; what the folder held is replaced."""
+    metric_log_lines(metrics).write.mode("overwrite").text(path)
+
+
+def log_emissions(spark: SparkSession, state: str, path: str, batch_id: int, emitted: dict[str, int], begun: float) -> None:
+    """MET-1, MET-2: cumulative throughput and latency per grain after a micro-batch, in
+    ``path``/batch=<id>.
+
+    The emission clock and the running counts are kept beside the checkpoint, one small
+    folder per batch (``state``/batch=<id>), so that they go on after a restart; a replayed
+    batch starts from the batches before it and overwrites both folders.  ``begun`` is when
+    the job started, in seconds; a restarted job goes on with the clock of its first start.
+    """
+    folders = spark.createDataFrame([], "grain string, started double, sent long, batch long")
+    folders.write.mode("ignore").partitionBy("batch").parquet(state)
+    before = spark.read.schema(folders.schema).parquet(state).where(F.col("batch") < batch_id)
+    last = before.groupBy("grain").agg(F.max_by(F.struct("started", "sent"), "batch").alias("x"))
+    known = {r.grain: (r.x.started, r.x.sent) for r in last.collect()}  # a row per grain
+    started = min((s for s, _ in known.values()), default=begun)
+    sent = {g: known.get(g, (started, 0))[1] + n for g, n in emitted.items()}
+    rows = spark.createDataFrame([(g, started, n) for g, n in sent.items()], "grain string, started double, sent long")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+    elapsed = max(time.time() - started, 1e-3) * 1000.0
+    log = [(g, sent[g] / elapsed * 1000.0, elapsed / sent[g]) for g, n in emitted.items() if n]
+    if log:
+        write_metric_log(spark.createDataFrame(log, "grain string, rows_per_s double, ms_per_row double"), f"{path}/batch={batch_id}")

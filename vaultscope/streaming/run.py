@@ -38,18 +38,26 @@ def closing_line(ts: dt.datetime, vault: int) -> str:
     return ",".join(fields)
 
 
+def line_time(value: str):
+    """The event time of a raw line, null where it has none."""
+    return F.try_to_timestamp(F.translate(F.split(value, ",")[0], "T", " "), F.lit(S.TS_PATTERN))
+
+
+def closing_moment(last: str, grains: tuple[Grain, ...] = GRAINS):
+    """A day past the end of every window that holds the time ``last`` (:func:`closing_time` as a column)."""
+    secs, ends = F.unix_seconds(F.col(last)), []
+    for g in grains:
+        size, off = g.size_days * 86400, g.offset_days * 86400
+        ends.append((F.floor((secs - off) / size) + 1) * size + off)
+    return F.timestamp_seconds((F.greatest(*ends) if len(ends) > 1 else ends[0]) + 86400)
+
+
 def closing_lines_for(lines: DataFrame, grains: tuple[Grain, ...] = GRAINS) -> DataFrame:
     """SET-1: closing lines derived from the data: one per closing vault, dated
     one day past the end of every window (of every grain) that holds the
     latest line.  Lines without a timestamp, or none at all, need no closing.  One
     aggregate over the lines; nothing goes through the driver."""
-    ts = F.try_to_timestamp(F.translate(F.split("value", ",")[0], "T", " "), F.lit(S.TS_PATTERN))
-    secs = F.unix_seconds(F.col("last"))
-    ends = []
-    for g in grains:
-        size, off = g.size_days * 86400, g.offset_days * 86400
-        ends.append((F.floor((secs - off) / size) + 1) * size + off)
-    close = F.timestamp_seconds(F.greatest(*ends) + 86400) if len(ends) > 1 else F.timestamp_seconds(ends[0] + 86400)
+    close = closing_moment("last", grains)
     vaults = F.explode(F.array(*[F.lit(v) for v in CLOSING_VAULTS])).alias("vault")
 
     def field(i: int):
@@ -59,7 +67,7 @@ def closing_lines_for(lines: DataFrame, grains: tuple[Grain, ...] = GRAINS) -> D
             return F.col("vault").cast("string")
         return F.lit(CLOSING_FIELDS.get(i, ""))
 
-    last = lines.agg(F.max(ts).alias("last"))
+    last = lines.agg(F.max(line_time("value")).alias("last"))
     return last.where("last is not null").select(close.alias("close"), vaults).select(
         F.concat_ws(",", *[field(i) for i in range(S.N_FIELDS)]).alias("value")
     )
@@ -163,38 +171,78 @@ def stream_foreach_batch_over_lines(spark: SparkSession, lines: DataFrame, build
     return spark.read.parquet(out).drop("batch")
 
 
-FILES_PER_TRIGGER = 2  # of the record files: several micro-batches also on small inputs
+def finished(q: StreamingQuery) -> None:
+    """Waits for a query that stops by itself, and raises what it failed with."""
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
-def all_grains_over_lines(spark: SparkSession, lines: DataFrame, query: str, name: str, slices: int = 6) -> DataFrame:
-    """SET-2 over a folder of lines in time order: one stream reads and parses the
-    lines and writes slim records; a second one reads the records for every grain."""
+def available_now(writer):
+    return writer.trigger(availableNow=True)
+
+
+def in_time_slices(spark: SparkSession, lines: DataFrame, base: str, slices: int):
+    """Writes ``lines`` below ``base``/in in time order, one folder after the other, the closing
+    lines last; yields after each.  The lines are rendered once, into a staging table."""
+    day = F.to_date(F.try_to_timestamp(F.substring("value", 1, 10), F.lit("yyyy-MM-dd")))
+    dated = lines.withColumn("day", day)
+    cuts = dated.select(F.percentile_approx("day", [k / slices for k in range(1, slices)])).first()[0] or []
+    number = F.lit(0)
+    for cut in sorted(set(cuts)):
+        number = number + F.coalesce(F.col("day") >= F.lit(cut), F.lit(False)).cast("int")
+    dated.select("value", number.alias("slice")).write.partitionBy("slice").text(f"{base}/staged")
+    staged = spark.read.text(f"{base}/staged")
+    for k in range(len(set(cuts)) + 1):
+        staged.where(F.col("slice") == k).select("value").write.text(f"{base}/in/slice-{k}")
+        yield k
+    closing_lines_for(staged.select("value")).write.text(f"{base}/in/zz-closing")
+    yield None
+
+
+def all_grains_over_lines(spark: SparkSession, lines: DataFrame, query: str, name: str, slices: int = 3, details: bool = False) -> DataFrame:
+    """SET-2 over lines that arrive in time order: every grain from one pass
+    (:mod:`vaultscope.streaming.rollup`), restarted from its checkpoint for each slice.
+
+    With ``details`` Query 2 has the disks of its ranked vaults
+    (:mod:`vaultscope.streaming.staged`)."""
+    from ..functions import parse
+    from ..session import configure_streaming
     from ..sources.text import read_lines_stream
-    from .queries import finish_windows, records_stream, windows_of_records
+    from . import rollup, staged
 
+    configure_streaming(spark)
     base = shared_scratch(spark, name)
-    day = F.substring("value", 1, 10)
-    bounds = lines.select(F.percentile_approx(F.to_date(F.try_to_timestamp(day, F.lit("yyyy-MM-dd"))), [k / slices for k in range(1, slices)]))
-    cuts = [str(x) for x in bounds.first()[0] or []]
-    for k in range(slices):  # one folder of files per time slice, written in order
-        at_least = day >= cuts[k - 1] if k and cuts else F.lit(True)
-        below = day < cuts[k] if cuts and k < len(cuts) else F.lit(True)
-        if k == 0 or cuts:
-            lines.where(at_least & below).coalesce(1).write.text(f"{base}/in/slice-{k}")
-    closing_lines_for(lines).coalesce(1).write.text(f"{base}/in/zz-closing")
-    records = records_stream(read_lines_stream(spark, f"{base}/in/*", max_files_per_trigger=1), query)
-    parsed = run_to_parquet(spark, records.coalesce(1), f"{base}/records")  # a slice stays one file
-    stream = spark.readStream.schema(parsed.schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(f"{base}/records/out")
-    out = f"{base}/out"
+    out, parsed = f"{base}/out", f"{base}/parsed"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        finish_windows(batch, query).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    q = (
-        windows_of_records(stream, query).writeStream.outputMode("append").foreachBatch(write)
-        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+        batch = batch.persist()
+        if not batch.isEmpty():
+            rows = staged.ranked_disks_of_windows(spark, batch, parsed) if details else rollup.finish_closed(batch, query)
+            rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.unpersist()
+
+    for _ in in_time_slices(spark, lines, base, slices):
+        arrived = read_lines_stream(spark, f"{base}/in/*")
+        if details:
+            rows = staged.parsed_rows(arrived, query)
+            finished(staged.start_parse(rows, query, parsed, f"{base}/parse", available_now))
+            records = staged.records_stream(spark, parsed, rows.schema)
+        else:
+            records = rollup.select_records(parse.good_records(parse.parse_lines(arrived, query)), query)
+        closed = rollup.closed_windows(records, query).writeStream.outputMode("append").foreachBatch(write)
+        finished(available_now(closed.option("checkpointLocation", f"{base}/checkpoint")).start())
     return spark.read.parquet(out).drop("batch")
+
+
+def closed_windows_over_lines(spark: SparkSession, lines: DataFrame, query: str, grain: Grain, name: str) -> DataFrame:
+    """One grain over lines in one stream: bounded state, ranks and quantiles per micro-batch."""
+    from .queries import finish_windows, records_stream, windows_of_records
+
+    def build(stream: DataFrame) -> DataFrame:
+        return windows_of_records(records_stream(stream, query), query, (grain,))
+
+    def writer(write):
+        return lambda batch, batch_id: write(finish_windows(batch, query).drop("grain"), batch_id)
+
+    return stream_foreach_batch_over_lines(spark, lines, build, writer, name)
