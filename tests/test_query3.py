@@ -106,3 +106,33 @@ def test_positions_null_group(spark):
     df = spark.createDataFrame([(None, 3.0), (None, 1.0), (1, 2.0)], "g int, x double")
     got = {(r.g, r.x): (r._pos, r._n) for r in group_positions(df, ["g"], "x").collect()}
     assert got == {(None, 1.0): (0, 2), (None, 3.0): (1, 2), (1, 2.0): (0, 1)}
+
+
+def test_sketches_of_days_merge_to_the_sketch_of_all(spark):
+    """Merged day sketches count every value; their quantiles keep the stated rank error, with
+    ties, NULLs and one group far larger than a sketch."""
+    from pyspark.sql import functions as F
+
+    from vaultscope.operators.quantiles import merge_sketches, quantile_sketches, rank_errors, sketch_quantiles
+
+    df = spark.range(90_000).select(
+        (F.col("id") % 9).alias("day"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40 + 1).alias("g"),
+        F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 5 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double")).alias("x"),
+    )
+    merged = merge_sketches(quantile_sketches(df, ["day", "g"], "x"), ["g"])
+    exact = {r.g: (r.n, r.lo, r.hi) for r in df.groupBy("g").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    out = rank_errors(sketch_quantiles(merged, ["g"]), df, ["g"], "x").collect()
+    assert {r.g: (r["count"], r["min"], r["max"]) for r in out} == exact
+    assert all(r[f"{p}_error"] <= 0.02 for r in out for p in ("p25", "p50", "p75"))
+    assert any(r.p50_error == 0 for r in out)
+    assert quantile_sketches(df.where("x is null"), ["g"], "x").count() == 0
+
+
+def test_rank_error_is_the_distance_from_the_ties(spark):
+    from vaultscope.operators.quantiles import rank_errors
+
+    values = spark.createDataFrame([(1, float(v)) for v in (1, 2, 2, 2, 3, 4, 5, 6, 7, 8)], "g int, x double")
+    q = spark.createDataFrame([(1, 2.0, 7.0, 2.0)], "g int, p25 double, p50 double, p75 double")
+    r = rank_errors(q, values, ["g"], "x").first()
+    assert (r.p25_error, round(r.p50_error, 9), round(r.p75_error, 9)) == (0.0, 0.3, 0.35)

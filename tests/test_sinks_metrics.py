@@ -208,3 +208,36 @@ def test_publish_sends_lines_with_a_timestamp_only(spark):
     lines = ["date,serial_number,model", "dated line", "2023-04-01T00:00:00,no fraction", "2023-04-01T00:00:00.000000,x", ""]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     assert [r.value for r in ks.publish_projection(df).collect()] == ["2023-04-01T00:00:00.000000,x"]
+
+
+def test_collector_writes_headers_and_query2_columns(spark, scratch):
+    """One header a file, 31 columns for Query 2 although disk texts hold commas; a replay adds nothing."""
+    from vaultscope.schema import FILE_COLUMNS
+
+    disks = "[model='A, B', serialNumber='1'], [model='C(x)', serialNumber='2']"
+    messages = spark.createDataFrame(
+        [
+            ("query2_1-day", f"2024-01-01 00:00:00, , 1001, 2 ({disks}), 1002, 1 (No failures)"),
+            ("query2_3-days", "2024-01-01 00:00:00, " + ", ".join(f"{1000 + k}, {20 - k} ([model='M', serialNumber='{k}'])" for k in range(10))),
+            ("query1-1day", "(2024-01-01 00:00:00,1000,3,2.5,0.5)"),
+            ("query3_all-time", "(2024-01-01 00:00:00,1090,4,1.0,2.0,3.0,4.0,5.0)"),
+            ("other", "x"),
+        ],
+        "topic string, value string",
+    )
+    for batch in (0, 0, 1):
+        fs.write_topics(messages, scratch, batch)
+    two = {r.topic: r for r in fs.read_topics(spark, scratch, "query2").where("batch = 0").collect()}
+    day = two["query2_1-day"]
+    assert (day.ts, day.vault_id1, day.failures1, day.disk_details1) == ("2024-01-01 00:00:00", "1001", "2", disks)
+    assert (day.vault_id2, day.disk_details2, day.vault_id3, day.disk_details10) == ("1002", "No failures", None, None)
+    three = two["query2_3-days"]
+    assert [three[f"vault_id{k}"] for k in range(1, 11)] == [str(1000 + k) for k in range(10)]
+    assert three.disk_details10 == "[model='M', serialNumber='9']" and len(FILE_COLUMNS["query2"]) == 31
+    one = fs.read_topics(spark, scratch, "query1").collect()
+    assert [tuple(r)[:5] for r in one] == [("2024-01-01 00:00:00", "1000", "3", "2.5", "0.5")] * 2
+    assert fs.read_topics(spark, scratch, "query3").where("batch = 0").first()["75perc"] == "4.0"
+    heads = set()
+    for folder, _, names in os.walk(os.path.join(scratch, "query3")):
+        heads |= {open(os.path.join(folder, n)).readline().strip() for n in names if n.endswith(".csv")}
+    assert heads == {"ts,vault_id1,count,min,25perc,50perc,75perc,max"}

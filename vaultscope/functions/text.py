@@ -55,3 +55,19 @@ def record_text(name: str, *cols: str) -> Column:
     for i, c in enumerate(cols):
         parts += [F.lit(("" if i == 0 else ", ") + f"{c}="), F.col(c).cast("string")]
     return F.concat(F.lit(name + "{"), *parts, F.lit("}"))
+
+
+# One ranked vault of a ranking line: vault, failures, disks.  Disk texts hold commas.
+RANKED_RE = r", (-?\d+), (\d+) \((No failures|(?:\[model='.*?', serialNumber='.*?'\](?:, )?)*)\)"
+
+
+def ranking_columns(line: str | Column, k: int = 10) -> list[Column]:
+    """A ranking line (:func:`rank_piece`) as columns: ts, then vault_idK, failuresK and
+    disk_detailsK for K = 1..k, null beyond the window's last rank."""
+    text = F.col(line) if isinstance(line, str) else line
+    vault, failures, disks = (F.regexp_extract_all(text, F.lit(RANKED_RE), F.lit(i)) for i in (1, 2, 3))
+    out = [F.substring_index(text, ",", 1).alias("ts")]
+    for i in range(k):
+        out += [F.get(vault, F.lit(i)).cast("int").alias(f"vault_id{i + 1}"), F.get(failures, F.lit(i)).cast("long").alias(f"failures{i + 1}"),
+                F.get(disks, F.lit(i)).alias(f"disk_details{i + 1}")]
+    return out

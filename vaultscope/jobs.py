@@ -214,11 +214,12 @@ def publish(spark: SparkSession, args) -> None:
 
 
 def collect(spark: SparkSession, args) -> None:
-    """SRC-4 + SNK-4: every ``query*`` topic to text files, one folder per topic."""
+    """SRC-4, SNK-4, SNK-5: every ``query*`` topic to CSV files with its header, one folder per
+    topic and batch.  Query 2's messages are those with disks, one line per window."""
     opts = kafka_src.kafka_source_options(args.bootstrap, pattern=kafka_src.RESULT_TOPIC_PATTERN, starting="earliest")
     msgs = kafka_src.read_kafka_lines(spark, opts, stream=True)
     q = (
-        msgs.writeStream.foreachBatch(file_sink.foreach_batch_csv(args.output))
+        msgs.writeStream.foreachBatch(file_sink.foreach_batch_topics(args.output))
         .option("checkpointLocation", args.checkpoint)
         .start()
     )

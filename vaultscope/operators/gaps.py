@@ -2,61 +2,82 @@
 consecutive lines.
 
 ``lag(ts).over(Window.orderBy(ts))`` without a partition moves the whole table
-to one task, and per-key partitions put a hot key in one task.  Here rows are
-range-partitioned on (keys..., order columns): each partition computes ``lag``
-locally, and the first row of each (partition, key) run takes the last value of
-the same key in the nearest lower partition, looked up in a table with one row
-per (partition, key).  The ranged rows are checkpointed so both uses see one
-partitioning and a lost executor does not re-sample the ranges.
+to one task, and per-key partitions put a hot key in one task.  Here time is cut
+into buckets.  Rows are shuffled once, by (group, bucket), and ``lag`` runs inside a
+bucket; a bucket's first row takes the last value of the group's nearest earlier
+bucket, from a table with one row per (group, bucket) made by an aggregate that
+combines before its shuffle.  No ranges are sampled and nothing is checkpointed.
+
+A bucket with more than ``most`` rows is cut again, into equal parts of its own time
+span or, where all its rows have one time, of its span of tiebreaks, so that neither a
+busy minute nor a dump of rows with one timestamp is one task's.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+BUCKET = "1 minute"
+MOST = 1_000_000  # rows of a bucket that one task sorts
+
+
+def _micros(duration: str) -> Column:
+    return F.expr(f"unix_micros(timestamp_micros(0) + interval {duration})")
+
+
+def _part(x: Column, lo: Column, hi: Column, parts: Column) -> Column:
+    """The number of the equal part of lo..hi that holds x, in exact arithmetic."""
+    wide = [c.cast("decimal(20,0)") for c in (x, lo, hi)]
+    return F.floor((wide[0] - wide[1]) * parts / (wide[2] - wide[1] + 1)).cast("long")
+
+
+def bucketed(
+    df: DataFrame, ts: str, tiebreak: str, group_cols: list[str], bucket: str = BUCKET, most: int = MOST
+) -> DataFrame:
+    """``df`` with ``_group`` (the group columns as one), ``_bucket`` and ``_part``: their
+    order within a group agrees with the order of (ts, tiebreak).  A null time comes first."""
+    us = F.unix_micros(ts)
+    # never null, so that equal keys meet by plain equality and share the lag's shuffle
+    group = F.struct(*[F.struct(F.col(g).isNull().alias("n"), F.col(g).alias("v")) for g in group_cols]) if group_cols else F.lit(0)
+    rows = df.withColumn("_group", group)
+    rows = rows.withColumn("_bucket", F.coalesce(F.floor(us / _micros(bucket)).cast("long"), F.lit(-(2**62))))
+    span = [F.min(us).alias("t0"), F.max(us).alias("t1"), F.min(tiebreak).alias("b0"), F.max(tiebreak).alias("b1")]
+    hot = rows.groupBy("_group", "_bucket").agg(F.count(F.lit(1)).alias("n"), *span).where(F.col("n") > most)
+    parts = F.ceil(F.col("n") / most).cast("decimal(20,0)")
+    in_time, in_ties = _part(us, F.col("t0"), F.col("t1"), parts), _part(F.col(tiebreak).cast("long"), F.col("b0"), F.col("b1"), parts)
+    part = F.when(F.col("n").isNull(), 0).when(F.col("t1") > F.col("t0"), in_time).otherwise(in_ties)
+    return rows.join(hot, ["_group", "_bucket"], "left").select(*df.columns, "_group", "_bucket", F.coalesce(part, F.lit(0)).alias("_part"))
 
 
 def previous_value(
     df: DataFrame,
-    order_cols: list[str],
+    ts: str,
+    tiebreak: str,
     value: str,
     group_cols: list[str] | None = None,
-    num_partitions: int | None = None,
     out: str = "prev",
+    bucket: str = BUCKET,
+    most: int = MOST,
+) -> DataFrame:
+    """Adds ``out``: ``value`` of the previous row of the group in (ts, tiebreak) order,
+    NULL for the first one.  ``tiebreak`` is an integer; a NULL group value is a group too."""
+    rows = bucketed(df, ts, tiebreak, list(group_cols or []), bucket, most)
+    by = ["_group", "_bucket", "_part"]
+    local = Window.partitionBy(*by).orderBy(ts, tiebreak)
+    lagged = rows.withColumn("_lag", F.lag(F.struct(value)).over(local))
+    # when the value leads the order its last one is its max: a hash aggregate
+    last = F.max(value) if value == ts else F.max_by(F.col(value), F.struct(ts, tiebreak))
+    lasts = rows.groupBy(*by).agg(last.alias("_last"))
+    carry = lasts.select(*by, F.lag("_last").over(Window.partitionBy("_group").orderBy("_bucket", "_part")).alias("_carry"))
+    prev = F.when(F.col("_lag").isNotNull(), F.col(f"_lag.{value}")).otherwise(F.col("_carry"))
+    return lagged.join(carry, by).select(*df.columns, prev.alias(out))
+
+
+def time_gaps(
+    df: DataFrame, ts: str = "ts", tiebreak: str = "event_id", group_cols: list[str] | None = None, bucket: str = BUCKET, most: int = MOST
 ) -> DataFrame:
-    """Adds ``out``: ``value`` of the previous row in (group, order_cols) order,
-    NULL for the first row of a group.  ``order_cols`` should be a total order."""
-    group_cols = list(group_cols or [])
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    keys = [*group_cols, *order_cols]
-    ranged = (
-        # without an explicit count AQE may merge small neighbouring ranges;
-        # merged partitions are still contiguous ranges in key order
-        (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    local = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)
-    with_local = ranged.withColumn("_lag", F.lag(value).over(local))
-    # last value per (partition, group), then the previous partition's last per group
-    # when the value leads the order (time gaps) the last value is its max: a
-    # hash aggregate instead of a sort-based max_by over a struct key
-    last = F.max(value) if value == order_cols[0] else F.max_by(F.col(value), F.struct(*order_cols))
-    lasts = ranged.groupBy("_pid", *group_cols).agg(last.alias("_last"))
-    by_group = Window.orderBy("_pid") if not group_cols else Window.partitionBy(*group_cols).orderBy("_pid")
-    carry = lasts.select("_pid", *group_cols, F.lag("_last").over(by_group).alias("_carry"))
-    # null-safe on the group columns: a NULL group value is a group too
-    c = carry.select(F.col("_pid").alias("_c_pid"), *[F.col(g).alias(f"_c_{g}") for g in group_cols], "_carry")
-    cond = [F.col("_pid") == F.col("_c_pid")] + [F.col(g).eqNullSafe(F.col(f"_c_{g}")) for g in group_cols]
-    return with_local.join(c, cond).select(*df.columns, F.coalesce(F.col("_lag"), F.col("_carry")).alias(out))
-
-
-def time_gaps(df: DataFrame, ts: str = "ts", tiebreak: str = "event_id", group_cols: list[str] | None = None) -> DataFrame:
     """Adds ``gap_ms``: milliseconds since the previous row (FN-9), 0 for the first."""
-    prev = previous_value(df, [ts, tiebreak], ts, group_cols, out="_prev_ts")
+    prev = previous_value(df, ts, tiebreak, ts, group_cols, "_prev_ts", bucket, most)
     gap = F.coalesce(F.unix_millis(F.col(ts)) - F.unix_millis(F.col("_prev_ts")), F.lit(0))
     return prev.withColumn("gap_ms", gap).drop("_prev_ts")

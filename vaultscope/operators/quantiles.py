@@ -25,8 +25,11 @@ Three forms:
 * ``hazen_from_sorted`` (stream, exact): Hazen on ``array_sort(collect_list)``.
   Streaming refuses window functions, so the second aggregation of the chained
   streaming query holds the group's values (one per key) in its state.
-* ``approx_quantiles`` (AGG-12): ``percentile_approx`` sketches, mergeable and
-  bounded in size; for groups too large to hold.
+* ``approx_quantiles`` (AGG-12): ``percentile_approx`` over the values; bounded in size, for
+  groups too large to hold.
+* ``quantile_sketches``, ``merge_sketches``, ``sketch_quantiles`` (AGG-12): KLL sketches as
+  values.  Sketches of fine windows are kept once and merged to any coarser grain or set of
+  groups without the readings; ``rank_errors`` says how far off their quantiles are.
 """
 
 from __future__ import annotations
@@ -116,3 +119,44 @@ def approx_quantiles(df: DataFrame, group_cols: list[str], value: str, prefix: s
         *[F.col("_qs")[i].alias(f"{prefix}{name}") for i, (_, name) in enumerate(QUANTILES)],
         f"{prefix}max",
     )
+
+
+def quantile_sketches(df: DataFrame, group_cols: list[str], value: str, k: int = 400) -> DataFrame:
+    """group..., sketch (KLL, at most a few kilobytes), min and max of a numeric column.
+    NULL values are left out; a group without any value has no row."""
+    x = F.col(value).cast("double")
+    return df.where(x.isNotNull()).groupBy(*group_cols).agg(
+        F.kll_sketch_agg_double(x, k).alias("sketch"), F.min(x).alias("min"), F.max(x).alias("max")
+    )
+
+
+def merge_sketches(sketches: DataFrame, group_cols: list) -> DataFrame:
+    """The sketches of coarser groups from those of finer ones (:func:`quantile_sketches`)."""
+    return sketches.groupBy(*group_cols).agg(
+        F.kll_merge_agg_double("sketch").alias("sketch"), F.min("min").alias("min"), F.max("max").alias("max")
+    )
+
+
+def sketch_quantiles(sketches: DataFrame, group_cols: list[str], prefix: str = "") -> DataFrame:
+    """group..., count, min, p25, p50, p75, max from sketches; count, min and max are exact."""
+    qs = [F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"{prefix}{name}") for q, name in QUANTILES]
+    n = F.kll_sketch_get_n_double("sketch").alias("count")
+    return sketches.select(*group_cols, n, F.col("min").alias(f"{prefix}min"), *qs, F.col("max").alias(f"{prefix}max"))
+
+
+def rank_errors(quantiles: DataFrame, values: DataFrame, group_cols: list[str], value: str, prefix: str = "") -> DataFrame:
+    """``quantiles`` with ``<name>_error`` for each of them: how far its place among the group's
+    ``values`` is from q, as a share of them (0 where q lies within its ties).  One pass of
+    counts that combine before their shuffle."""
+    own = values.select(*[F.col(c).alias(f"_{c}") for c in group_cols], F.col(value).cast("double").alias("_x")).where("_x is not null")
+    met = quantiles.join(own, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group_cols])
+    counts = [F.count(F.lit(1)).alias("_n")]
+    for _, name in QUANTILES:
+        at = F.col(f"{prefix}{name}")
+        counts += [F.count_if(F.col("_x") < at).alias(f"_{name}_lo"), F.count_if(F.col("_x") <= at).alias(f"_{name}_hi")]
+    placed = met.groupBy(*quantiles.columns).agg(*counts)
+    errors = [
+        F.greatest(F.col(f"_{name}_lo") / F.col("_n") - q, q - F.col(f"_{name}_hi") / F.col("_n"), F.lit(0.0)).alias(f"{prefix}{name}_error")
+        for q, name in QUANTILES
+    ]
+    return placed.select(*quantiles.columns, *errors)

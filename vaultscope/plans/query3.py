@@ -9,7 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quantiles import approx_quantiles, hazen_quantiles, latest_per_key
+from ..operators.quantiles import (
+    approx_quantiles,
+    hazen_quantiles,
+    latest_per_key,
+    merge_sketches,
+    quantile_sketches,
+    rank_errors,
+    sketch_quantiles,
+)
 from ..windows import DAY, Grain, window_text
 
 # The vault range of Query 3 (inclusive).
@@ -50,3 +58,32 @@ def power_on_quantiles_approx(records: DataFrame, grain: Grain = DAY, vaults=Q3_
     q = approx_quantiles(latest, ["window", "vault_id"], "s9", accuracy=accuracy)
     return _finish(q.select("window", "vault_id", "count",
                             *[F.col(c).alias(f"{c}_hours") for c in ("min", "p25", "p50", "p75", "max")]))
+
+
+def day_sketches(records: DataFrame, vaults=Q3_VAULTS, dedup_key: str = "serial_number", k: int = 400) -> DataFrame:
+    """AGG-12: window, vault_id, sketch, min, max: each disk's latest hours of each day as
+    one mergeable sketch per (day, vault)."""
+    return quantile_sketches(latest_hours(records, DAY, vaults, dedup_key), ["window", "vault_id"], "s9", k)
+
+
+def _coarse(grain: Grain):
+    return grain.window_of("window.start").alias("window")
+
+
+def sketch_rollup(sketches: DataFrame, grain: Grain) -> DataFrame:
+    """ts, vault_id, count, min/p25/p50/p75/max_hours of ``grain`` from day sketches: the
+    distribution of daily latest readings, without going back to the readings."""
+    if not grain.contains(DAY):
+        raise ValueError(f"{grain} windows do not consist of whole days")
+    merged = merge_sketches(sketches, [_coarse(grain), "vault_id"])
+    q = sketch_quantiles(merged, ["window", "vault_id"])
+    return _finish(q.select("window", "vault_id", "count", *[F.col(c).alias(f"{c}_hours") for c in ("min", "p25", "p50", "p75", "max")]))
+
+
+def sketch_rollup_errors(records: DataFrame, grain: Grain, vaults=Q3_VAULTS, k: int = 400) -> DataFrame:
+    """:func:`sketch_rollup` with the rank error of each quantile against the readings."""
+    latest = latest_hours(records, DAY, vaults)
+    merged = merge_sketches(quantile_sketches(latest, ["window", "vault_id"], "s9", k), [_coarse(grain), "vault_id"])
+    daily = latest.select(_coarse(grain), "vault_id", "s9")
+    q = rank_errors(sketch_quantiles(merged, ["window", "vault_id"]), daily, ["window", "vault_id"], "s9")
+    return q.select(window_text("window.start").alias("ts"), *[c for c in q.columns if c != "window"])

@@ -244,12 +244,48 @@ register(
     _q3_oracle(THREE_DAYS, key="model"),
 )
 
-# AGG-12: sketch quantiles, rows-only (values are approximate by design).
+# AGG-12.  A group of up to the accuracy's size keeps all its values, so that the sketch
+# returns the value of rank ceil(q * n); a disk has one value per window, and a vault four disks.
 register(
     "q3_power_on_approx_3days",
     lambda spark, d: query3.power_on_quantiles_approx(_telemetry(spark, d, query3.Q3_VAULTS), THREE_DAYS),
+    _with_view(
+        f"""select {_fmt('w')} as ts, vault_id, count(*) as count, {_r('min(x)')} as min_hours,
+       """
+        + ", ".join(
+            f"{_r(f'max(case when pos = greatest(ceil({q} * n), 1) then x end)')} as {name}_hours"
+            for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+        )
+        + f""", {_r('max(x)')} as max_hours
+from (
+  select w, vault_id, x, row_number() over (partition by w, vault_id order by x) as pos, count(*) over (partition by w, vault_id) as n
+  from (
+    select {THREE_DAYS.duckdb_bucket()} as w, vault_id, s9 as x, row_number() over (
+      partition by {THREE_DAYS.duckdb_bucket()}, vault_id, serial_number order by ts desc, s9 desc) as rn
+    from t where vault_id between 1090 and 1120 and length(serial_number) > 0 and s9 is not null)
+  where rn = 1)
+group by w, vault_id"""
+    ),
 )
 
+# AGG-12, mergeable: day sketches merged to coarser windows.  The quantiles are a sketch's own
+# choice, so the comparable columns say whether each lies within 2 % of its rank.
+for _g in (THREE_DAYS, ALL_TIME):
+    register(
+        f"q3_sketch_rollup_{_g.label}",
+        lambda spark, d, g=_g: query3.sketch_rollup_errors(_telemetry(spark, d), g, vaults=None).select(
+            "ts", "vault_id", "count", F.col("min").alias("min_hours"), F.col("max").alias("max_hours"),
+            *[(F.col(f"{p}_error") <= 0.02).alias(f"{p}_within") for p in ("p25", "p50", "p75")],
+        ),
+        _with_view(
+            f"select {_fmt(_g.duckdb_bucket('w'))} as ts, vault_id, count(*) as count, {_r('min(x)')} as min_hours, "
+            f"{_r('max(x)')} as max_hours, true as p25_within, true as p50_within, true as p75_within from ("
+            f"select {DAY.duckdb_bucket()} as w, vault_id, s9 as x, row_number() over ("
+            f"partition by {DAY.duckdb_bucket()}, vault_id, serial_number order by ts desc, s9 desc) as rn "
+            "from t where length(serial_number) > 0 and s9 is not null) where rn = 1 group by 1, 2"
+        ),
+    )
+
 register(
     "q3_latest_hours_1day",
     lambda spark, d: query3.latest_hours(_telemetry(spark, d, query3.Q3_VAULTS), DAY).select(
@@ -429,6 +465,19 @@ register(
 )
 
 
+# SNK-4, SNK-5: Query 2's ranking lines as messages, taken apart into the file's 31 columns.
+register(
+    "q2_csv_1day",
+    lambda spark, d: file_sink.topic_columns(
+        query2.ranking_lines(_failures(spark, d), DAY).select(
+            F.lit(kafka_sink.topic_name("query2", DAY.label)).alias("topic"), F.col("line").alias("value")
+        ),
+        "query2",
+    ).drop("topic"),
+    ORACLES["q2_wide_1day"],
+)
+
+
 # ---------------------------------------------------------------- the same operators over lineitem
 
 

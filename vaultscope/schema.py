@@ -89,3 +89,11 @@ CSV_HEADERS = {
     "query2": "ts," + ",".join(f"vault_id{k},failures{k},disk_details [model,serial]" for k in range(1, 11)),
     "query3": "ts,vault_id1,count,min,25perc,50perc,75perc,max",
 }
+
+# Column names for files, by topic prefix.  Query 2's header above repeats a name and has a
+# comma inside another, so its columns are numbered.
+FILE_COLUMNS = {
+    "query1": CSV_HEADERS["query1"].split(","),
+    "query2": ["ts", *(f"{c}{k}" for k in range(1, 11) for c in ("vault_id", "failures", "disk_details"))],
+    "query3": CSV_HEADERS["query3"].split(","),
+}

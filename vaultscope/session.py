@@ -17,6 +17,8 @@ _RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows of a batch may be long texts: bounds what a Python worker and the JVM beside it hold
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
 }
 
 

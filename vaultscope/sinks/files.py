@@ -1,9 +1,9 @@
 """File sinks: result CSVs per topic (SNK-4, SNK-5) and the metric log (SNK-7).
 
 The reference's consumer appends each message to ``<topic>.csv`` after
-stripping ``(``, ``)`` and ``"``, writing a header once.  Here a micro-batch (or
-batch) of messages is written with ``partitionBy("topic")`` in append mode:
-one folder per topic, many part files, written in parallel by the executors.
+stripping ``(``, ``)`` and ``"``, writing a header once.  Here a micro-batch of
+messages is written per query with ``partitionBy("topic")``: one folder per topic and
+batch, many part files with the topic's header, written in parallel by the executors.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import split_fields, strip_chars
-from ..schema import CSV_HEADERS
+from ..functions.text import ranking_columns, split_fields, strip_chars
+from ..schema import CSV_HEADERS, FILE_COLUMNS
 from ..operators.metrics import metric_log_lines
 
 
@@ -58,8 +58,37 @@ def write_result_csv(result: DataFrame, path: str, header: bool = True) -> None:
     result.write.mode("append").option("header", header).csv(path)
 
 
+def topic_columns(messages: DataFrame, query: str) -> DataFrame:
+    """The messages of a query's topics as topic and the columns of its files (SNK-5).
+
+    Query 2's lines are taken apart by their form, as disk texts hold commas; the others are
+    stripped and split."""
+    names = FILE_COLUMNS[query]
+    own = messages.where(F.col("topic").startswith(query))
+    if query == "query2":
+        return own.select("topic", *ranking_columns("value"))
+    return message_columns(own, len(names), names)
+
+
+def write_topics(messages: DataFrame, path: str, batch_id: int) -> None:
+    """SNK-4, SNK-5: a micro-batch's messages as CSV files with a header, below
+    ``path``/<query>/batch=<batch_id>/topic=<topic>, which a replay overwrites."""
+    messages = messages.persist()
+    for query in FILE_COLUMNS:
+        rows = topic_columns(messages, query)
+        if not rows.isEmpty():
+            rows.write.mode("overwrite").partitionBy("topic").option("header", True).csv(f"{path}/{query}/batch={batch_id}")
+    messages.unpersist()
+
+
+def read_topics(spark: SparkSession, path: str, query: str) -> DataFrame:
+    """What :func:`write_topics` wrote for a query, as text columns with topic and batch."""
+    columns = ", ".join(f"`{c}` string" for c in FILE_COLUMNS[query])
+    return spark.read.schema(f"{columns}, batch long, topic string").option("header", True).csv(f"{path}/{query}")
+
+
 def foreach_batch_csv(path: str):
-    """``foreachBatch`` function writing each micro-batch of messages (SNK-4) once,
+    """``foreachBatch`` function writing each micro-batch of messages as text (SNK-4) once,
     however often it is replayed."""
 
     def _write(batch: DataFrame, batch_id: int) -> None:
@@ -68,6 +97,15 @@ def foreach_batch_csv(path: str):
     return _write
 
 
+def foreach_batch_topics(path: str):
+    """``foreachBatch`` function for :func:`write_topics`."""
+
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        write_topics(batch, path, batch_id)
+
+    return _write
+
+
 def write_metric_log(metrics: DataFrame, path: str) -> None:
     """SNK-7: two text lines per metric row; what the folder held is replaced."""
     metric_log_lines(metrics).write.mode("overwrite").text(path)
