@@ -178,3 +178,25 @@ def test_query2_messages_hold_one_line_per_window(spark):
         "topic string, ts string, rank int, vault_id int, failures long, disk_details string",
     )
     assert sorted(r.value for r in jobs.result_messages(rows, "q2").collect()) == ["w1, 5, 3 (d5), 7, 1 (d7)", "w2, 9, 1 (d9)"]
+
+
+def test_a_source_that_stands_still_holds_no_window_open(spark, scratch):
+    """Two folders, one of which stops after the first day: the other's later lines close its windows."""
+    from vaultscope.streaming.run import closing_line
+
+    import datetime as dt
+
+    day = lambda k, vault: closing_line(dt.datetime(2024, 1, 1 + k, 12), vault)
+    folders = [os.path.join(scratch, x) for x in "ab"]
+    for f in folders:
+        os.makedirs(f)
+    with open(os.path.join(folders[0], "1.txt"), "w") as fh:
+        fh.write(day(0, 1000) + "\n")
+    given = ["run", "--query", "q1", "--input", *folders, "--output", os.path.join(scratch, "o"), "--once", "--grains", "1day",
+             "--checkpoint", os.path.join(scratch, "ck")]
+    for k, file in enumerate(("1", "2", "3")):
+        with open(os.path.join(folders[1], f"{file}.txt"), "w") as fh:
+            fh.write(day(k, 1001) + "\n")
+        jobs.main(given, spark=spark)
+    rows = spark.read.parquet(os.path.join(scratch, "o")).collect()
+    assert sorted((r.ts, r.vault_id) for r in rows) == [("2024-01-01 00:00:00", 1000), ("2024-01-01 00:00:00", 1001), ("2024-01-02 00:00:00", 1001)]

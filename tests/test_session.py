@@ -46,9 +46,10 @@ def test_session_setting_is_used():
     assert checkpoint_dir(s) == "s3a://bucket/ckpt"
 
 
-def test_cluster_without_shared_dir_fails():
+@pytest.mark.parametrize("master", ["k8s://https://api:443", "yarn", "local-cluster[3,2,1024]"])
+def test_cluster_without_shared_dir_fails(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        checkpoint_dir(_Session(_Context("k8s://https://api:443")))
+        checkpoint_dir(_Session(_Context(master)))
 
 
 def test_local_mode_gets_private_dir(tmp_path):

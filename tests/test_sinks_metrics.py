@@ -241,3 +241,36 @@ def test_collector_writes_headers_and_query2_columns(spark, scratch):
     for folder, _, names in os.walk(os.path.join(scratch, "query3")):
         heads |= {open(os.path.join(folder, n)).readline().strip() for n in names if n.endswith(".csv")}
     assert heads == {"ts,vault_id1,count,min,25perc,50perc,75perc,max"}
+
+
+def test_publishing_in_slices(spark, scratch):
+    """Slices come in event-time order, none spans more than its seconds, and nothing is lost."""
+    from vaultscope.sources.text import telemetry_lines
+
+    lines = telemetry_lines(telemetry(spark, SF_SMALL))
+    seen = []
+
+    def write(rows, number):
+        rows.write.mode("errorifexists").parquet(os.path.join(scratch, "topic", f"slice={number}"))
+        seen.append(number)
+
+    seconds = 6 * 3600
+    n = ks.publish_in_slices(lines, seconds, os.path.join(scratch, "staging"), write)
+    assert seen == sorted(set(seen)) and len(seen) == n > 10
+    sent = spark.read.parquet(os.path.join(scratch, "topic"))
+    want = sorted(map(tuple, ks.publish_projection(lines).collect()))
+    assert sorted((r.key, r.value) for r in sent.collect()) == want
+    for r in sent.groupBy("slice").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).collect():
+        lo, hi = (dt.datetime.fromisoformat(x).replace(tzinfo=dt.timezone.utc).timestamp() for x in (r.lo, r.hi))
+        assert r["slice"] * seconds <= lo <= hi < (r["slice"] + 1) * seconds
+
+
+def test_listener_keeps_a_bounded_number_of_batches():
+    from types import SimpleNamespace as N
+
+    listener = EmissionListener(keep=3)
+    listener.onQueryStarted(N(id="q", timestamp="2024-01-01T00:00:00.000Z"))
+    for k in range(10):
+        progress = N(id="q", timestamp="2024-01-01T00:00:05.000Z", observedMetrics={}, sink=N(numOutputRows=2), name="n", batchId=k, numInputRows=1, durationMs={})
+        listener.onQueryProgress(N(progress=progress))
+    assert [(r["batch_id"], r["n"]) for r in listener.records] == [(7, 16), (8, 18), (9, 20)]

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import argparse
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +63,14 @@ def stream_result(lines: DataFrame, query: str, grain: Grain, dedup_key: str = "
 
 
 def _lines(spark: SparkSession, args, stream: bool) -> DataFrame:
+    """The raw lines of all inputs.  Several folders or topics are one stream: event time is that
+    of the furthest one, so a source that stands still doesn't hold windows open (STR-3); rows of
+    a source that lags behind by more than the watermark are late."""
     if args.bootstrap:
         opts = kafka_src.kafka_source_options(args.bootstrap, args.topic, starting=args.starting)
         return kafka_src.read_kafka_lines(spark, opts, stream=stream).select("value")
-    return read_lines_stream(spark, args.input, args.max_files) if stream else read_lines(spark, args.input)
+    read = (lambda path: read_lines_stream(spark, path, args.max_files)) if stream else (lambda path: read_lines(spark, path))
+    return reduce(lambda a, b: a.unionByName(b), map(read, args.input))
 
 
 def run(spark: SparkSession, args) -> list[str]:
@@ -207,10 +212,17 @@ def result_messages(rows: DataFrame, query: str) -> DataFrame:
 def publish(spark: SparkSession, args) -> None:
     """SNK-2: raw lines to Kafka, key = first field.  Lines without a timestamp, headers
     among them, are not sent; ``--closing`` appends the lines that close every window.
-    Lines are sent in parallel: a consumer's watermark must allow for the spread."""
+    With ``--slice`` lines are sent in slices of that many seconds of event time, one after
+    the other, so that a consumer with at least that watermark drops none; without, all at
+    once and in parallel."""
     lines = read_lines(spark, args.input)
     lines = with_closing(lines) if args.closing else lines
-    kafka_sink.write_kafka(kafka_sink.publish_projection(lines), kafka_sink.kafka_sink_options(args.bootstrap, args.topic))
+    options = kafka_sink.kafka_sink_options(args.bootstrap, args.topic)
+    if args.slice is None:
+        kafka_sink.write_kafka(kafka_sink.publish_projection(lines), options)
+    else:
+        configure(spark)
+        kafka_sink.publish_in_slices(lines, args.slice, args.staging, lambda rows, _: kafka_sink.write_kafka(rows, options))
 
 
 def collect(spark: SparkSession, args) -> None:
@@ -231,9 +243,9 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     r = sub.add_parser("run", help="compute a query for every grain")
     r.add_argument("--query", choices=sorted(QUERY_NAMES), required=True)
-    r.add_argument("--input", help="folder of raw text lines")
+    r.add_argument("--input", nargs="+", help="folders of raw text lines")
     r.add_argument("--bootstrap", help="read lines from Kafka instead")
-    r.add_argument("--topic", default=kafka_src.INPUT_TOPIC)
+    r.add_argument("--topic", default=kafka_src.INPUT_TOPIC, help="topic, or several with commas")
     r.add_argument("--starting", default="latest")
     r.add_argument("--output", help="output folder (one sub-folder per grain)")
     r.add_argument("--mode", choices=["stream", "batch"], default="stream")
@@ -254,6 +266,8 @@ def parser() -> argparse.ArgumentParser:
     pb.add_argument("--input", required=True)
     pb.add_argument("--bootstrap", required=True)
     pb.add_argument("--topic", default=kafka_src.INPUT_TOPIC)
+    pb.add_argument("--slice", type=int, help="send slices of so many seconds of event time in order (the watermark: 30)")
+    pb.add_argument("--staging", help="with --slice: shared folder for the lines by day")
     pb.add_argument("--closing", action="store_true", help="append the lines that close every window")
     c = sub.add_parser("collect", help="result topics to files")
     c.add_argument("--bootstrap", required=True)
@@ -272,6 +286,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         need["--sink-bootstrap"] = args.sink_bootstrap or args.sink != "kafka"
         if missing := [name for name, given in need.items() if not given]:
             options.error(f"run needs {', '.join(missing)}")
+    if args.command == "publish" and args.slice is not None and not args.staging:
+        options.error("publish --slice needs --staging")
     if spark is None:
         spark = (
             SparkSession.builder.appName(f"vaultscope-{args.command}")

@@ -8,6 +8,8 @@ producer retries idempotent (SNK-3).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +47,30 @@ def publish_projection(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.where(good).select(key.alias("key"), F.col(value).alias("value"))
 
 
+def publish_in_slices(lines: DataFrame, seconds: int, staging: str, write: Callable[[DataFrame, int], None]) -> int:
+    """SNK-2 in event-time order: ``write(rows, slice)`` gets key and value of one slice of
+    ``seconds`` of event time after the other, and a slice starts when the one before is done.
+
+    So no line arrives after one that is ``seconds`` or more younger, and a consumer whose
+    watermark delay is at least that finds none late.
+    The lines are staged once, by day and sorted by slice, so that a slice reads the row groups
+    that hold it; a slice is sent in parallel.  Returns the number of slices; the driver holds
+    their numbers for one day at a time.
+    """
+    stamp = F.translate(F.col("key"), "T", " ")
+    number = F.floor(F.unix_seconds(F.try_to_timestamp(stamp, F.lit(S.TS_PATTERN))) / seconds).cast("long")
+    rows = publish_projection(lines).select("key", "value", number.alias("slice"))
+    rows = rows.withColumn("day", F.to_date(F.timestamp_seconds(F.col("slice") * seconds)))
+    rows.repartition("day", F.pmod(F.xxhash64("value"), F.lit(16))).sortWithinPartitions("day", "slice").write.partitionBy("day").parquet(staging)
+    staged, sent = lines.sparkSession.read.parquet(staging), 0
+    for (day,) in staged.select("day").distinct().orderBy("day").collect():
+        of_day = staged.where(F.col("day") == F.lit(day))
+        for (k,) in of_day.select("slice").distinct().orderBy("slice").collect():
+            write(of_day.where(F.col("slice") == k).select("key", "value"), k)
+            sent += 1
+    return sent
+
+
 def as_messages(result: DataFrame, topic: str | Column) -> DataFrame:
     """Result rows as ``(a,b,c)`` text messages with a ``topic`` column."""
     t = F.lit(topic) if isinstance(topic, str) else topic

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +27,19 @@ def count_emitted(df: DataFrame) -> DataFrame:
 
 
 class EmissionListener(StreamingQueryListener):
-    def __init__(self) -> None:
+    """Keeps the last ``keep`` micro-batches of each query; ``n`` counts from its first one on."""
+
+    def __init__(self, keep: int = 10_000) -> None:
         self._lock = threading.Lock()
+        self._keep = keep
+        self._sent: dict[str, int] = {}
         self._start: dict[str, dt.datetime] = {}
         self._ended: dict[str, threading.Event] = {}
-        self.records: list[dict] = []
+        self._records: dict[str, deque] = {}
+
+    @property
+    def records(self) -> list[dict]:
+        return [r for kept in self._records.values() for r in kept]
 
     def onQueryStarted(self, event) -> None:
         with self._lock:
@@ -46,13 +55,16 @@ class EmissionListener(StreamingQueryListener):
         # count is -1 for sinks that do not report (e.g. files)
         observed = (p.observedMetrics or {}).get(EMITTED)
         sink_rows = observed["rows"] if observed is not None else (p.sink.numOutputRows if p.sink is not None else -1)
+        name = p.name or str(p.id)
         with self._lock:
-            self.records.append(
+            self._sent[name] = self._sent.get(name, 0) + max(sink_rows, 0)
+            self._records.setdefault(name, deque(maxlen=self._keep)).append(
                 {
-                    "query": p.name or str(p.id),
+                    "query": name,
                     "batch_id": p.batchId,
                     "input_rows": p.numInputRows,
                     "output_rows": max(sink_rows, 0),
+                    "n": self._sent[name],
                     "elapsed_ms": (now - start).total_seconds() * 1000.0
                     + sum(v for k, v in (p.durationMs or {}).items() if k == "triggerExecution"),
                 }
@@ -77,16 +89,12 @@ class EmissionListener(StreamingQueryListener):
         """query, batch_id, input_rows, output_rows, n (cumulative), elapsed_ms,
         rows_per_s, ms_per_row."""
         with self._lock:
-            rows = list(self.records)
-        schema = "query string, batch_id long, input_rows long, output_rows long, elapsed_ms double"
+            rows = self.records
+        schema = "query string, batch_id long, input_rows long, output_rows long, n long, elapsed_ms double"
         df = spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema)
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("query").orderBy("batch_id")
-        n = F.sum("output_rows").over(w)
+        n = F.col("n")
         return df.select(
-            "*",
-            n.alias("n"),
+            "query", "batch_id", "input_rows", "output_rows", "n", "elapsed_ms",
             F.try_divide(n, F.col("elapsed_ms") / 1000.0).alias("rows_per_s"),
             F.try_divide(F.col("elapsed_ms"), n).alias("ms_per_row"),
         )
