@@ -4,10 +4,11 @@ AGG-8 ``latest_per_key``: one row per (window, group, key) holding the value of
 the latest reading; ties on the timestamp go to the larger value, so the result
 does not depend on arrival order.  ``max_by`` is a partial aggregate.  Its
 struct ordering key makes Spark plan a sort-based aggregate (struct buffers do
-not fit the hash map); a lexicographic (ts, value) maximum has no fixed-width
-encoding, and the hash-only alternative (max per (key, ts), then ``max_by``
-per key) costs a second shuffle of nearly every row, so one shuffle with a
-sorted map-side combine is kept.
+not fit the hash map).  A decimal of the time beside the sign-flipped bits of
+the double would be an exact ordering key that does fit, but Spark has no
+function that gives a double's bits, and the hash-only alternative (max per
+(key, ts), then ``max_by`` per key) costs a second shuffle of nearly every row, so
+one shuffle with a sorted map-side combine is kept.
 
 AGG-10 / AGG-11 quantile rule (Hazen): with the values sorted as x[0..n-1],
 
@@ -16,7 +17,7 @@ AGG-10 / AGG-11 quantile rule (Hazen): with the values sorted as x[0..n-1],
 
 so Q(0) is the minimum and Q(1) the maximum.
 
-Three forms:
+Forms:
 
 * ``hazen_quantiles`` (batch, exact): positions from
   :func:`vaultscope.operators.ranking.group_positions`, then one group-by with

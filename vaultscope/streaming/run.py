@@ -217,7 +217,7 @@ def all_grains_over_lines(spark: SparkSession, lines: DataFrame, query: str, nam
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        if not batch.isEmpty():
+        if not batch_id or not batch.isEmpty():  # the first batch gives the table its columns
             rows = staged.ranked_disks_of_windows(spark, batch, parsed) if details else rollup.finish_closed(batch, query)
             rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
         batch.unpersist()
