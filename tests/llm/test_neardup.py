@@ -2,10 +2,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from vaultscope.llm import neardup, tokens
-from vaultscope.llm.neardup import near_duplicates
+from vaultscope.llm import linking, tokens
+from vaultscope.llm.neardup import lost, near_duplicates, one_of_each_group
 from vaultscope.llm.shared import components
 
 
@@ -15,22 +16,26 @@ def shingles(text, size):
 
 
 def brute(rows, size, percent=80):
-    sets = {d: shingles(t, size) for d, t in rows if d is not None}
-    root = {d: d for d in sets}
+    """Rows of one doc_id are one document, linked where any of its texts is."""
+    texts = [(d, shingles(t, size)) for d, t in rows if d is not None]
+    root = {d: d for d, _ in texts}
 
     def find(d):
         while root[d] != d:
             d = root[d]
         return d
 
-    ids = sorted(sets)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
-            both = len(sets[a] & sets[b])
-            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+    for n, (a, s) in enumerate(texts):
+        for b, t in texts[n + 1 :]:
+            both = len(s & t)
+            if both and 100 * both >= percent * (len(s) + len(t) - both):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    out = [(d, len(sets[d]), find(d), d == find(d)) if d is not None else (None, len(shingles(t, size)), None, True) for d, t in rows]
+    out = []
+    for d, t in rows:
+        own = shingles(t, size)
+        group = None if d is None else find(d) if own else d
+        out.append((d, len(own), group, d is None or d == group))
     return sorted(out, key=str)
 
 
@@ -104,8 +109,7 @@ def test_edited_copies(spark, seed):
 
 def test_large_group_goes_through_blocks(spark, monkeypatch):
     """A hot group whose members are partly linked through each other only."""
-    monkeypatch.setattr(neardup, "PAIRS", 6)
-    monkeypatch.setattr(neardup, "SIDE", 16)
+    monkeypatch.setattr(linking, "SIDE", 16)
     rows = corpus(4, 1, 120, 80, 7) + [(1000 + d, t) for d, t in corpus(5, 2, 20, 50, 4)]
     want = brute(rows, 4)
     assert got(table(spark, rows), 4) == want
@@ -126,3 +130,77 @@ def test_odd_rows(spark):
     twice = [(7, "a b c d e"), (7, "a b c d e"), (9, "a b c d e")]
     assert got(table(spark, twice), 4) == [(7, 2, 7, True), (7, 2, 7, True), (9, 2, 7, False)]
     assert got(table(spark, rows).limit(0), 4) == []
+
+
+def test_one_document_with_several_texts(spark):
+    """Both texts of document 5 have a copy; whatever their order, both copies are linked to 5."""
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(5, a), (5, b), (7, a + " z"), (8, b + " z"), (9, a), (9, None), (4, "c d e f g")]
+    for order in (rows, rows[::-1]):
+        assert got(table(spark, order), 4) == brute(order, 4)
+    assert {(r[0], r[2]) for r in brute(rows, 4)} == {(5, 5), (7, 5), (8, 5), (9, 5), (9, 9), (4, 4)}
+
+
+def test_one_of_each_group(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(5, text), (5, text), (None, text), (None, text), (9, text + " z"), (None, other), (None, other), (3, None), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, n, "x") for n, (d, t) in enumerate(rows)], "doc_id long, text string, row int, `group` string")
+    out = one_of_each_group(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(5, text), (None, other), (3, None), (3, ""), (None, None)], key=str)
+    assert one_of_each_group(docs.limit(0)).count() == 0
+
+
+def test_blocks_against_all_pairs():
+    """Every pair of components that a link joins is joined, and no more links than that."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    sets = []
+    for _ in range(70):
+        own = base.copy()
+        own[rng.choice(60, rng.integers(0, 9), replace=False)] = rng.integers(0, 2**63, 1).astype(np.uint64)
+        sets.append(np.unique(own))
+    for stray in (np.arange(70) < 40, np.arange(70) < 3):
+        comp = np.arange(70) // 2
+        block = pa.table({"stray": stray, "node": np.arange(70), "comp": comp, "set": [s.tobytes() for s in sets]})
+        out = linking.block_links(80)(block)
+
+        def joined(pairs):
+            root = {int(c): int(c) for c in comp}
+            def find(c):
+                while root[c] != c:
+                    c = root[c]
+                return c
+            for a, b in pairs:
+                x, y = sorted((find(int(comp[a])), find(int(comp[b]))))
+                root[y] = x
+            return {c: find(c) for c in root}
+
+        every = [(a, b) for a in np.flatnonzero(stray) for b in np.flatnonzero(~stray) if linking.alike(sets[a], sets[b], 80)]
+        links = list(zip(out["a"].to_pylist(), out["b"].to_pylist()))
+        assert joined(links) == joined(every) and len(links) < 35 and len(every) > len(links)
+
+
+def test_probability_of_a_lost_link():
+    assert lost(0.8) < 1.2e-6
+    assert all(lost(s) < lost(0.8) / 3 for s in (0.82, 0.85, 0.9, 0.99))
+
+
+def test_bitmaps_never_rule_out_a_link():
+    """At every size and threshold; and sets that only share a passage are ruled out."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+    left, right = [], []
+    for n in [1, 2, 5, 31, 32, 33, 100, 127, 129, 1000] * 8:
+        base = fresh(n)
+        k = int(rng.integers(0, n // 4 + 1))
+        left.append(np.unique(base))
+        right.append(np.unique(np.concatenate([base[k:], fresh(int(rng.integers(0, n // 5 + 2)))])))
+    for percent in (80, 85):
+        may = linking.may_be_alike([linking.bitmap(x) for x in left], [linking.bitmap(x) for x in right], percent)
+        links = np.array([[linking.alike(x, y, percent) for y in right] for x in left])
+        assert links.sum() >= 15 and not (links & ~may).any()
+    passage = fresh(40)
+    docs = [np.unique(np.concatenate([passage, fresh(300)])) for _ in range(20)]
+    bits = [linking.bitmap(x) for x in docs]
+    assert np.array_equal(linking.may_be_alike(bits, bits, 80), np.eye(20, dtype=bool))

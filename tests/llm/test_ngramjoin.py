@@ -1,0 +1,79 @@
+"""The n-gram join against brute force, and its filters against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+from test_neardup import brute, corpus, table
+
+from vaultscope.llm import linking, ngramjoin
+from vaultscope.llm.ngramjoin import frequency_classes, ngram_join, prefix, prefix_size
+
+
+def want(rows, size, percent):
+    return sorted((r[:3] for r in brute(rows, size, percent)), key=str)
+
+
+def got(df, size, percent):
+    return sorted(map(tuple, ngram_join(df, size, percent).collect()), key=str)
+
+
+def test_prefixes_of_linked_sets_meet_under_every_order():
+    rng = np.random.default_rng(3)
+    classes = rng.integers(0, 3, 1 << ngramjoin.SLOT_BITS).astype(np.uint8)
+    met = 0
+    for n in [1, 2, 5, 6, 7, 13, 40, 100] * 20:
+        base = rng.integers(0, 2**64, n, dtype=np.uint64)
+        other = base.copy()
+        k = rng.integers(0, max(1, n // 6) + 1)
+        other[rng.choice(n, k, replace=False)] = rng.integers(0, 2**64, k, dtype=np.uint64)
+        other = other[rng.integers(0, 2) :] if n > 8 else other
+        a, b = np.unique(base), np.unique(other)
+        for percent in (80, 85, 100):
+            for order in range(ngramjoin.ORDERS):
+                x, y = (prefix(s, order, percent, classes) for s in (a, b))
+                assert len(x) == prefix_size(len(a), percent) <= len(a)
+                if linking.alike(a, b, percent):
+                    met += 1
+                    assert len(np.intersect1d(x, y))
+    assert met > 200
+
+
+def test_classes_count_all_documents(spark, monkeypatch):
+    texts = spark.createDataFrame([(k, b"a b c d common words here now") for k in range(40)] + [(99, b"z")], "doc_id long, text binary")
+    classes = frequency_classes(texts.repartition(5), 4)
+    assert sorted(classes[classes > 0]) == [1] + [6] * 5
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_edited_copies(spark, seed):
+    rows = corpus(seed, 10, 8, 60, 4)
+    result = want(rows, 4, 85)
+    assert got(table(spark, rows), 4, 85) == result
+    assert 10 < len({w[2] for w in result}) < len(rows)
+
+
+def test_common_passage_and_large_group(spark, monkeypatch):
+    """A passage that most documents hold, and one group linked through each other only."""
+    monkeypatch.setattr(linking, "SIDE", 16)
+    rng = random.Random(9)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(5, 30))] + passage) for _ in range(60)]
+    rows += [t for _, t in corpus(4, 1, 100, 80, 5)] + [t for _, t in corpus(5, 2, 20, 50, 3)]
+    rows = list(enumerate(rows))
+    result = want(rows, 4, 85)
+    assert got(table(spark, rows), 4, 85) == result and len({w[2] for w in result}) > 60
+
+
+def test_similarity_at_the_threshold(spark):
+    words = [f"w{i}" for i in range(20)]  # 17 shingles of four words
+    rows = [(1, " ".join(words)), (2, " ".join(words + ["x", "y", "z"])), (3, " ".join(["p", "q", "r", "s"] + words))]
+    assert got(table(spark, rows), 4, 85) == want(rows, 4, 85) == [(1, 17, 1), (2, 20, 1), (3, 21, 3)]
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"w{i}" for i in range(50_000))
+    rows = [(None, "a b c d e"), (None, None), (1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b"), (7, "a b c d e"), (8, "A B c D e")]
+    rows += [(9, long), (10, long + " end"), (11, "É b"), (12, "é b"), (7, "a b c d e"), (8, long)]
+    assert got(table(spark, rows), 4, 85) == want(rows, 4, 85)
+    assert got(table(spark, rows).limit(0), 4, 85) == []

@@ -5,13 +5,14 @@ one MinHash.  If two signatures differ in at most ``CHUNKS * (ERRORS + 1) - 1``
 symbols, some chunk differs in at most ``ERRORS`` (pigeonhole).  Enumerating the
 chunk errors, here by leaving out each choice of ``ERRORS`` symbols, gives the
 keys; any such pair shares a key.  Pairs that share a key are confirmed on their
-full shingle sets, so the result has no false link.  Two sets of similarity 0.8
-miss all keys with probability 1.2e-6.
+full shingle sets, so the result has no false link.
 
-Groups of copies never become pairs: equal sets are one node; each key's members
-are first compared with its smallest member only; pairs of members that are
-already connected are skipped after that; and what is left of a large key goes
-through blocks of bounded size that return links between components only.
+Two sets of similarity 0.8 share no key with probability 1.2e-6 (``lost``); such a link is
+missed unless the two are connected otherwise.  Nothing else drops a link.
+
+Groups of copies never become pairs: equal sets are one node, and
+:func:`~vaultscope.llm.linking.component_links` joins the members of a key by heads and
+bounded blocks.
 """
 
 from __future__ import annotations
@@ -25,22 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
+from .linking import bitmap, component_links
 from .shared import components, table
 
 CHUNKS, WIDTH, ERRORS = 8, 4, 1
-SKETCH = 128  # MinHashes kept as bytes to estimate a similarity
-SLACK = 5.5  # standard deviations below the threshold at which an estimate rules a pair out
-PAIRS = 128  # keys with more members go through blocks
-SIDE = 512  # rows of a block
 
 _random = np.random.RandomState(20)
-_MULTIPLY = _random.randint(0, 2**63, SKETCH, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _random.randint(0, 2**63, SKETCH, dtype=np.int64).astype(np.uint64)
+_MULTIPLY = _random.randint(0, 2**63, CHUNKS * WIDTH, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+_ADD = _random.randint(0, 2**63, CHUNKS * WIDTH, dtype=np.int64).astype(np.uint64)
 _KEPT = [tuple(c * WIDTH + j for j in js) for c in range(CHUNKS) for js in combinations(range(WIDTH), WIDTH - ERRORS)]
 
 
 def _marks(size: int):
-    """Per document: set size, hash of the set, keys and sketch."""
+    """Per document: set size, hashes of the set, keys and bitmap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,20 +47,18 @@ def _marks(size: int):
                 n = np.diff(at)
                 full = n > 0
                 starts = at[:-1][full]
-                marks = np.zeros((len(n), SKETCH), np.uint64)
+                marks = np.zeros((len(n), CHUNKS * WIDTH), np.uint64)
                 prints = np.zeros((len(n), 2), np.uint64)
                 if len(starts):
-                    for k in range(SKETCH):
+                    for k in range(CHUNKS * WIDTH):
                         marks[full, k] = tokens.mix(np.minimum.reduceat(values * _MULTIPLY[k] + _ADD[k], starts))
-                    prints[full, 0] = np.add.reduceat(tokens.mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
-                    prints[full, 1] = np.add.reduceat(tokens.mix(values ^ np.uint64(0x14057B7EF767814F)), starts)
-                low = marks[:, : CHUNKS * WIDTH] & np.uint64(0xFFFF)
+                    prints[full, 0], prints[full, 1] = _prints(values, starts)
+                low = marks & np.uint64(0xFFFF)
                 keys = np.zeros((len(n), len(_KEPT)), np.uint64)
                 for k, kept in enumerate(_KEPT):
                     for symbol in kept:
                         keys[:, k] = keys[:, k] << np.uint64(16) | low[:, symbol]
                     keys[:, k] |= np.uint64(k << 48)
-                sketch = (marks >> np.uint64(40)).astype(np.uint8)
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column(0).slice(first, len(n)),
@@ -72,100 +68,90 @@ def _marks(size: int):
                         "keys": pa.ListArray.from_arrays(
                             pa.array(np.arange(0, keys.size + 1, len(_KEPT), dtype=np.int32)), pa.array(tokens.signed(keys.ravel()))
                         ),
-                        "sketch": pa.array([x.tobytes() for x in sketch], pa.binary()),
+                        "bits": pa.array([bitmap(values[a:b]).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
                     }
                 )
 
     return run
 
 
+def _prints(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set of values."""
+    seeds = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
+    return tuple(np.add.reduceat(tokens.mix(values ^ s), starts) for s in seeds)
+
+
 def _sets(size: int):
+    """The sets of documents, with their hashes; empty ones are left out."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, offsets in tokens.blocks(batch.column(1)):
                 values, at = tokens.shingle_sets(data, offsets, size)
-                yield pa.record_batch(
-                    {
-                        "doc": batch.column(0).slice(first, len(at) - 1),
-                        "set": pa.array([x.tobytes() for x in np.split(values, at[1:-1])], pa.binary()),
-                    }
-                )
+                full = np.flatnonzero(np.diff(at))
+                if len(full):
+                    f1, f2 = _prints(values, at[full])
+                    yield pa.record_batch(
+                        {
+                            "doc": batch.column(0).slice(first, len(at) - 1).take(pa.array(full)),
+                            "f1": pa.array(tokens.signed(f1)),
+                            "f2": pa.array(tokens.signed(f2)),
+                            "set": pa.array([values[at[k] : at[k + 1]].tobytes() for k in full], pa.binary()),
+                        }
+                    )
 
     return run
 
 
-def _likely(percent: int):
-    """Keep (a, b) whose sketches don't rule the similarity out."""
-    p = 1 - percent / 100
-    most = p * SKETCH + SLACK * np.sqrt(p * (1 - p) * SKETCH)
+def lost(similarity: float) -> float:
+    """Probability that two sets of a similarity share no key."""
+    p = similarity
+    few = p**WIDTH + WIDTH * p ** (WIDTH - 1) * (1 - p)  # a chunk with at most one error
+    return (1 - few) ** CHUNKS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SKETCH) for k in ("sa", "sb"))
-                yield batch.select(["a", "b"]).filter(pa.array((a != b).sum(axis=1) <= most))
 
-    return run
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """One node per distinct set of ``rows`` (row, doc_id, f1, f2): f1, f2, node (a row's
+    number) and doc, the smallest doc_id with that set."""
+    first = rows.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "row")).alias("m"))
+    return first.select("f1", "f2", F.col("m.row").alias("node"), F.col("m.doc_id").alias("doc"))
 
 
-def _confirmed(percent: int):
-    """Keep (a, b) with 100 * intersection >= percent * union."""
+def sets_of_nodes(texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """node, set of ``nodes`` (node, doc, f1, f2) from ``texts`` (doc_id, text), each node once."""
+    nodes = table(nodes.select("node", "doc", "f1", "f2"))  # of known size, so that few of them don't shuffle all texts
+    some = texts.join(nodes.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = some.mapInArrow(_sets(size), "doc long, f1 long, f2 long, set binary")
+    return sets.groupBy("doc", "f1", "f2").agg(F.first("set").alias("set")).join(nodes, ["doc", "f1", "f2"]).select("node", "set")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                shared = 0
-                if 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+def grouped(rows: DataFrame, first: DataFrame, links: DataFrame) -> DataFrame:
+    """f1, f2, group and least (the smallest doc_id of the group) of all nodes in ``first``.
 
+    A doc_id with several sets is one document: its nodes are linked."""
+    own = rows.join(first, ["f1", "f2"]).select("doc_id", "node").distinct()
+    several = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    same = own.join(several, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
+    labels = table(components(links.union(same)))
+    group = first.join(labels, "node", "left").select("f1", "f2", "doc", F.coalesce("component", "node").alias("group"))
+    group = table(group)
+    return group.join(group.groupBy("group").agg(F.min("doc").alias("least")), "group").select("f1", "f2", "group", "least")
 
-def _block(percent: int):
-    """Links between different components in one block: a spanning set of them."""
-
-    def run(block: pa.Table) -> pa.Table:
-        doc, comp = block["doc"].to_numpy(), block["comp"].to_numpy()
-        names, comp, count = np.unique(comp, return_inverse=True, return_counts=True)
-        a, b = [], []
-        if len(names) > 1:
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in block["set"]]
-            n = np.array([len(x) for x in sets])
-            values, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-            common = often > 1
-            place = np.cumsum(common) - 1
-            row, keep = np.repeat(np.arange(len(sets)), n), common[column]
-            row, column = row[keep], place[column[keep]]
-            few = np.flatnonzero(comp != np.argmax(count))
-            shared = np.zeros((len(few), len(sets)), np.float32)
-            for lo in range(0, int(common.sum()), 8192):  # a bounded part of the columns at a time
-                own = (column >= lo) & (column < lo + 8192)
-                matrix = np.zeros((len(sets), 8192), np.float32)
-                matrix[row[own], column[own] - lo] = 1
-                shared += matrix[few] @ matrix.T
-            union = n[few][:, None] + n[None, :] - shared
-            x, y = np.nonzero((100 * shared >= percent * union) & (comp[few][:, None] != comp[None, :]))
-            parent = list(range(len(names)))
-
-            def root(k: int) -> int:
-                while parent[k] != k:
-                    parent[k] = parent[parent[k]]
-                    k = parent[k]
-                return k
-
-            for i, j in zip(few[x], y):
-                p, q = root(comp[i]), root(comp[j])
-                if p != q:
-                    parent[q] = p
-                    a.append(doc[i])
-                    b.append(doc[j])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return run
+def _marked(docs: DataFrame, size: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """doc_id and text; and per row its number, doc_id, set size, set hashes, keys and bitmap."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    marks = texts.mapInArrow(_marks(size), "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, bits binary")
+    return texts, table(marks.withColumn("row", F.monotonically_increasing_id()))
+
+
+def _linked(texts: DataFrame, some: DataFrame, size: int, percent: int) -> DataFrame:
+    """f1, f2, group, least of all sets in ``some``, rows of ``_marked``."""
+    first = table(distinct_sets(some))
+    nodes = table(some.join(first.select("node", "doc"), F.col("row") == F.col("node")).select("node", "doc", "f1", "f2", "keys", "bits", "n_shingles"))
+    members = nodes.select(F.explode("keys").alias("key"), "node", F.col("n_shingles").alias("size"), F.lit(0).alias("weight"))
+    links = component_links(members, nodes, lambda n: sets_of_nodes(texts, nodes.join(n, "node"), size), percent)
+    return grouped(some, first, links)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,71 +162,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     null text or one without words has an empty set and is linked with nothing.
     Returns one row per input row: doc_id, n_shingles, component_id (the smallest
     doc_id reachable, itself included) and kept (doc_id = component_id).  Rows
-    with the same doc_id are the same document and each comes back.  A row with a
-    null doc_id is linked with nothing, has a null component_id and is kept.
+    with the same doc_id are the same document, whatever their texts: each comes back, and
+    what is linked to one of them is linked to all; a row without words is linked with
+    nothing even so.  A row with a null doc_id is linked with nothing, has a null component_id and is kept.
     Other columns, whatever their names, are ignored; an empty table gives none.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    marks = table(
-        texts.mapInArrow(_marks(size), "doc_id long, n_shingles long, f1 long, f2 long, keys array<long>, sketch binary")
-    )
-    some = marks.where("n_shingles > 0 and doc_id is not null")
-    first = table(some.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc")))
-    nodes = (
-        some.join(first, ["f1", "f2"]).where("doc = doc_id").select("doc", "keys", "sketch").dropDuplicates(["doc"])
-    )
-    nodes = table(nodes)
-    rows = nodes.select("doc", F.explode("keys").alias("key"))
-    wide = rows.groupBy("key").agg(F.min("doc").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = table(rows.join(wide, "key"))
-
-    needed = table(buckets.select(F.col("doc").alias("doc_id")).distinct())
-    sets = table(texts.join(needed, "doc_id", "left_semi").mapInArrow(_sets(size), "doc long, set binary"))
-    sketches = nodes.select("doc", "sketch")
-
-    def with_both(pairs: DataFrame, of: DataFrame, column: str) -> DataFrame:
-        one = pairs.join(of.select(F.col("doc").alias("b"), F.col(column).alias("sb")), "b")
-        return one.join(of.select(F.col("doc").alias("a"), F.col(column).alias("sa")), "a").select("a", "b", "sa", "sb")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return table(with_both(pairs, sets, "set").mapInArrow(_confirmed(percent), "a long, b long"))
-
-    star = buckets.where("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    star = table(with_both(star, sketches, "sketch").mapInArrow(_likely(percent), "a long, b long"))
-    links = confirmed(star)
-    labels = components(links)
-
-    # Members of a key that are not connected yet.
-    known = buckets.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    known = known.select("key", "doc", "size", F.coalesce("component", "doc").alias("comp"))
-    split = known.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_ = table(known.join(split, "key"))
-    few = open_.where(F.col("size") <= PAIRS).join(sketches, "doc")
-    left, right = (few.select("key", F.col("comp").alias(f"c{x}"), F.col("doc").alias(x), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    pairs = (
-        left.join(right, "key").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sa", "sb")
-        .mapInArrow(_likely(percent), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    )
-    parts = F.ceil(F.col("size") / SIDE).cast("int")
-    own = F.pmod(F.xxhash64("doc"), parts).cast("int")
-    blocks = (
-        open_.where(F.col("size") > PAIRS)
-        .select("key", "doc", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
-        .select("key", "doc", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        .join(sets, "doc")
-        .groupBy("key", "i", "j")
-        .applyInArrow(_block(percent), "a long, b long")
-    )
-    labels = table(components(links.union(confirmed(pairs)).union(table(blocks))))
-
-    return (
-        marks.join(first.withColumnRenamed("doc", "node"), ["f1", "f2"], "left")
-        .withColumn("node", F.when(F.expr("n_shingles > 0 and doc_id is not null"), F.col("node")))
-        .join(labels, "node", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.coalesce("component", "node", "doc_id").alias("component_id"),
-            F.coalesce(F.col("doc_id") == F.coalesce("component", "node", "doc_id"), F.lit(True)).alias("kept"),
-        )
-    )
+    texts, marks = _marked(docs, size, id_col, text_col)
+    groups = _linked(texts, marks.where("n_shingles > 0 and doc_id is not null"), size, percent)
+    out = marks.join(groups, ["f1", "f2"], "left")
+    least = F.when(F.expr("n_shingles > 0 and doc_id is not null"), F.col("least"))
+    component = F.coalesce(least, "doc_id")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicate texts: the smallest doc_id's, nulls last.
+
+    Rows are told apart by their place in the table, not by doc_id: of repeated rows one
+    stays, and rows with a null doc_id are rows like others.  Rows whose text is null or
+    without words are near-duplicates of nothing and all stay.
+    """
+    place = "".join(docs.columns) + "_row"
+    kept = table(docs.withColumn(place, F.monotonically_increasing_id()))
+    texts, marks = _marked(kept, size, place, text_col)
+    some = marks.where("n_shingles > 0")
+    groups = _linked(texts, some, size, percent)
+    group = some.select("doc_id", "f1", "f2").join(groups, ["f1", "f2"]).select(F.col("doc_id").alias("row"), "group")
+    ids = kept.select(F.col(place).alias("row"), F.col(id_col).alias("id"))
+    order = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("row").alias("row"))
+    member = group.join(ids, "row").select("group", "row", order.alias("order"))
+    first = member.groupBy("group").agg(F.min("order").alias("stays"))
+    gone = member.join(first, "group").where("order <> stays").select(F.col("row").alias(place))
+    return kept.join(gone.hint("shuffle_hash"), place, "left_anti").select(*docs.columns)

@@ -20,6 +20,7 @@ from .mixing import mix_sources
 from .neardup import near_duplicates
 from .negatives import hard_negatives
 from .neighbours import nearest_neighbours
+from .ngramjoin import ngram_join
 from .quality import quality_rules
 from .substrings import remove_repeats
 from .toxicity import toxicity
@@ -304,3 +305,14 @@ n as (
   from g join p on p.a = g.a and not p.alike and 80 * g.s <= 100 * p.s and 100 * p.s <= 100 * g.s)
 select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from n where rank <= 5
 """
+
+
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_read(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+QUERIES["op11_ngram_join"] = op11_ngram_join
+
+ORACLES["op11_ngram_join"] = ORACLES["op1_near_duplicates"].replace("100 * both_have >= 80", "100 * both_have >= 85").replace(
+    " as component_id, r.node = min(r.root) as kept", " as component_id"
+)

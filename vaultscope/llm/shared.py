@@ -22,6 +22,14 @@ def table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer where ``df`` has a column of that name (in whatever case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): (node, component), the smallest node of each.
 
