@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from vaultscope.llm import tokens
-from vaultscope.llm.substrings import minimizers, remove_repeats, repeated_spans
+from vaultscope.llm.substrings import compacted, minimizers, remove_repeats, repeated_spans
 
 
 def brute(rows, size):
@@ -79,3 +79,49 @@ def test_odd_rows(spark):
     rows = [(None, long), (1, None), (2, ""), (3, " \n"), (7, long), (7, long), (9, "x " + long), (8, long[:50_000]), (4, "é ü \x1c z")]
     assert got(table(spark, rows), 50) == brute(rows, 50)
     assert got(table(spark, rows).limit(0), 50) == []
+
+
+def test_two_texts_under_one_doc_id(spark):
+    """A span of one text takes no word from the other texts of its doc_id."""
+    rows = [(1, "a " * 60), (5, "a " * 60), (5, "b " * 60), (5, "a " * 55 + "c"), (9, "b " * 51), (0, "z")]
+    for order in (rows, rows[::-1]):
+        assert got(table(spark, order), 50) == brute(order, 50)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_paths_against_a_plain_graph(spark, seed):
+    """Compaction of a random graph with branches, chains over several sources and cycles."""
+    rng = random.Random(seed)
+    nodes, edges, used = 60, [], set()
+    for source in range(12):
+        at = rng.randrange(nodes)
+        for pos in range(rng.randrange(1, 30)):
+            to = (at + 1) % nodes if rng.random() < 0.9 else rng.randrange(nodes)
+            if (at, to) not in used:
+                used.add((at, to))
+                edges.append((source, pos, at, to))
+            at = to
+    edges += [(50, k, 1000 + k, 1000 + (k + 1) % 7) for k in range(7)] + [(51, 0, 2000, 2000)]
+    into, out = {}, {}
+    for s, p, a, b in edges:
+        out.setdefault(a, []).append((s, p))
+        into.setdefault(b, []).append((s, p))
+    root = {(s, p): (s, p) for s, p, *_ in edges}
+
+    def find(e):
+        while root[e] != e:
+            e = root[e]
+        return e
+
+    for node, came in into.items():
+        if len(came) == len(out.get(node, [])) == 1:
+            x, y = find(came[0]), find(out[node][0])
+            root[max(x, y)] = min(x, y)
+    want = {}
+    for e in root:
+        want.setdefault(find(e), set()).add(e)
+    have = {}
+    for r in compacted(spark.createDataFrame(edges, "source long, source_pos int, l long, r long")).collect():
+        have.setdefault(r.path, set()).add((r.source, r.source_pos))
+    assert sorted(map(sorted, have.values())) == sorted(map(sorted, want.values()))
+    assert max(map(len, want.values())) > 3 and len(want) > 5
