@@ -87,3 +87,44 @@ def test_odd_rows(spark):
     assert mix_sources(empty).count() == 0 and mixed_documents(empty).count() == 0
     blank = table(spark, [(1, None, "x", 0.0), (2, " ", None, 0.0)])
     assert [(r.size, r.target, r.taken) for r in mix_sources(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("ids", [[None], [7], [None, 7, 8]])
+def test_ties_of_any_size_are_cut(spark, ids):
+    """1,000 rows that share few doc_ids and one size land within half a document of the target."""
+    rows = [(ids[k % len(ids)], "w " * 10, "a", 0.0) for k in range(1000)] + [(50_000 + k, "w " * 10, "b", 0.0) for k in range(200)]
+    df = table(spark, rows)
+    out = mix_sources(df, share=0.6).collect()
+    for size, n in ((10_000, 1000), (2000, 200)):
+        own = [r for r in out if r.source_size == size]
+        assert len(own) == n and abs(sum(r.taken for r in own) - own[0].target) <= 5
+    taken = Counter()
+    for r in out:
+        taken[r.doc_id] += r.taken
+    copies = Counter(r.doc_id for r in mixed_documents(df, share=0.6).collect())
+    assert {d: 10 * c for d, c in copies.items()} == {d: t for d, t in taken.items() if t}
+
+
+def test_sample_against_brute_force(spark):
+    """``taken`` is what sorting each source by its documents' keys gives."""
+    rows = rows_of(5)
+    df = table(spark, rows)
+    key = {r.doc_id: (r.m.key, r.doc_id) for r in df.select("doc_id", mixing._measured(df.text, df.doc_id, 0).alias("m")).collect()}
+    out = {r.doc_id: r for r in mix_sources(df).collect()}
+    for name in {s for _, _, s, _ in rows}:
+        ids = sorted((k for k, _, s, _ in rows if s == name), key=key.get)
+        target, size = out[ids[0]].target, sum(out[k].size for k in ids)
+        epochs = int(target // size) if size else 0
+        rest, upto = target - epochs * size, 0
+        for k in ids:
+            last = upto + out[k].size / 2 <= rest
+            upto += out[k].size
+            assert out[k].taken == out[k].size * (epochs + last)
+
+
+def test_clashing_names(spark):
+    names = ["mark", "plan", "row", "copy", "__mark", "__plan", "__copy", "source_size", "key"]
+    df = table(spark, rows_of(6, 60)).selectExpr("*", *(f"doc_id as `{n}`" for n in names))
+    out = mixed_documents(df)
+    assert out.columns == df.columns and all(r[n] == r.doc_id for r in out.collect() for n in names)
+    assert mix_sources(df).count() == 60

@@ -5,7 +5,8 @@ smallest keys of a source are its weighted sample without replacement.  The
 prefix sum of sizes is taken in two steps, so that no source is ever one group:
 sizes are summed by source and key bucket (pre-aggregated), running sums go over
 the buckets, and only the documents of the one bucket that the budget cuts are
-sorted.
+sorted, by ranges over many tasks.  Rows with one doc_id have one key: among them the
+place in the input decides, so that a budget can cut a tie of any size.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranking import group_positions
 from .quality import SYMBOLS, words
-from .shared import table
+from .shared import table, unused
 
 BUCKETS = 4096
 WEIGHTS = (3, 1, 2)
@@ -61,8 +62,8 @@ def _targets(sources: DataFrame, share: float, most: float) -> DataFrame:
 def plan(
     measured: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: float = 2.0
 ) -> DataFrame:
-    """One row per source of (source, doc_id, size, key, bucket): source_size, target, epochs, and where its last,
-    partial epoch ends: all buckets below ``below``, and in that bucket keys up to (cut_key, cut_id)."""
+    """One row per source of (source, doc_id, row, size, key, bucket): source_size, target, epochs, and where its last,
+    partial epoch ends: all buckets below ``below``, and in that bucket keys up to (cut_key, cut_id, cut_row)."""
     by_bucket = table(measured.groupBy("source", "bucket").agg(F.sum("size").alias("size")))
     sizes = by_bucket.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = group_positions(sizes.withColumn("unnamed", F.col("source").isNull()), [], ["unnamed", "source"])
@@ -91,23 +92,23 @@ def plan(
     inside = measured.join(
         ends.where("cut is not null"), F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("cut"))
     ).join(right.withColumnRenamed("__s", "__r"), F.col("source").eqNullSafe(F.col("__r")))
-    order = Window.partitionBy("source").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    middle = F.col("before") + F.sum("size").over(order) - F.col("size") / 2
+    inside = inside.select("source", "key", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "row", "size", "before", "rest")
+    placed = group_positions(inside, ["source"], ["key", "id", "row"], weight="size")
+    middle = F.col("before") + F.col("_pos") + F.col("size") / 2
     cuts = (
-        inside.withColumn("middle", middle).where(F.col("middle") <= F.col("rest"))
-        .groupBy("source").agg(F.max(F.struct("key", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))).alias("last"))
-        .select(F.col("source").alias("__c"), F.col("last.key").alias("cut_key"), F.col("last.id").alias("cut_id"))
+        placed.where(middle <= F.col("rest")).groupBy("source").agg(F.max(F.struct("key", "id", "row")).alias("last"))
+        .select(F.col("source").alias("__c"), F.col("last.key").alias("cut_key"), F.col("last.id").alias("cut_id"), F.col("last.row").alias("cut_row"))
     )
     return table(
         sources.join(ends.select("__s", "below"), F.col("source").eqNullSafe(F.col("__s")))
         .join(cuts, F.col("source").eqNullSafe(F.col("__c")), "left")
-        .select("source", "source_size", "target", "epochs", "below", "cut_key", "cut_id")
+        .select("source", "source_size", "target", "epochs", "below", "cut_key", "cut_id", "cut_row")
     )
 
 
-def _copies(doc_id: Column, mark: Column, of: Column) -> Column:
+def _copies(doc_id: Column, row: Column, mark: Column, of: Column) -> Column:
     """How often a document is taken; ``of`` is its source's row of :func:`plan`, as a struct."""
-    last = F.struct(mark.key, F.coalesce(doc_id, F.lit(NO_ID))) <= F.struct(of.cut_key, of.cut_id)
+    last = F.struct(mark.key, F.coalesce(doc_id, F.lit(NO_ID)), row) <= F.struct(of.cut_key, of.cut_id, of.cut_row)
     chosen = (mark.bucket < of.below) | ((mark.bucket == of.below) & of.cut_key.isNotNull() & last)
     return of.epochs + F.when(chosen, 1).otherwise(0)
 
@@ -124,15 +125,16 @@ def mix_sources(
     is reshared by weight.  Complete epochs take every document; the rest is the
     source's documents in key order, as many as bring it nearest to its target.
     Documents are taken whole.  The keys are hashes, so reruns agree.  One row per
-    input row: repeated rows are documents of their own with the same key, and a null
-    doc_id is allowed.  Other columns are ignored; an empty table gives no rows.
+    input row: repeated rows are documents of their own with the same key, taken in the
+    order in which the input has them, and a null doc_id is allowed.  Other columns are
+    ignored; an empty table gives no rows.
     """
     doc_id, source = F.col(id_col).cast("long"), F.col(source_col).cast("string")
     measured, sources = _plan(docs, doc_id, source, _measured(F.col(text_col), doc_id, seed), weights, share, most)
     mark = F.struct("size", "key", "bucket")
     return measured.join(sources, F.col("source").eqNullSafe(F.col("__plan.source"))).select(
         "doc_id", "size", "__plan.source_size", "__plan.target",
-        (_copies(F.col("doc_id"), mark, F.col("__plan")) * F.col("size")).cast("long").alias("taken"),
+        (_copies(F.col("doc_id"), F.col("row"), mark, F.col("__plan")) * F.col("size")).cast("long").alias("taken"),
     )
 
 
@@ -140,8 +142,8 @@ def _plan(
     docs: DataFrame, doc_id: Column, source: Column, mark: Column, weights: Sequence[int], share: float, most: float
 ) -> tuple[DataFrame, DataFrame]:
     """The measured documents, without their texts, and the plan as one struct column ``__plan``."""
-    measured = docs.select(doc_id.alias("doc_id"), source.alias("source"), mark.alias("m"))
-    measured = table(measured.select("doc_id", "source", "m.*"))
+    measured = docs.select(doc_id.alias("doc_id"), F.monotonically_increasing_id().alias("row"), source.alias("source"), mark.alias("m"))
+    measured = table(measured.select("doc_id", "row", "source", "m.*"))
     sources = plan(measured, weights, share, most)
     return measured, sources.select(F.struct(*sources.columns).alias("__plan"))
 
@@ -151,11 +153,14 @@ def mixed_documents(
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """The rows of ``docs`` as often as :func:`mix_sources` takes them.  Documents without words are taken for
-    complete epochs only.  Texts are measured in place and never sorted."""
+    complete epochs only.  Texts are measured in place and never sorted; ``docs`` is read twice and has to come
+    in the same order, as a written table does, for rows that share a doc_id to be told apart."""
     doc_id, source = F.col(id_col).cast("long"), F.col(source_col).cast("string")
     mark = _measured(F.col(text_col), doc_id, seed)
     _, sources = _plan(docs, doc_id, source, mark, weights, share, most)
-    joined = docs.withColumn("__mark", mark).join(sources, source.eqNullSafe(F.col("__plan.source")))
-    copies = _copies(doc_id, F.col("__mark"), F.col("__plan"))
-    joined = joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
-    return joined.drop("__mark", "__plan", "__copy")
+    marked, planned, row, copy = (unused(docs, c) for c in ("mark", "plan", "row", "copy"))
+    sources = sources.withColumnRenamed("__plan", planned)
+    joined = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(marked, mark)
+    joined = joined.join(sources, source.eqNullSafe(F.col(f"{planned}.source")))
+    copies = _copies(doc_id, F.col(row), F.col(marked), F.col(planned))
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
