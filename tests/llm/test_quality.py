@@ -64,3 +64,23 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert [r.kept for r in quality_rules(df).collect()] == [True] * 3
     assert keep_quality(df).count() == 3
     assert quality_rules(df.limit(0)).count() == 0 and keep_quality(df.limit(0)).count() == 0
+
+
+def test_windows_with_one_hash_are_compared(spark, monkeypatch):
+    """Where all windows share one hash, windows count as repeated only next to an equal one."""
+    from pyspark.sql import functions as F
+
+    text = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, text), (2, "a a a a a")], "doc_id long, text string")
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(0).cast("long"))
+    from vaultscope.llm.quality import measures
+
+    assert [r.n for r in df.select(measures(F.col("text")).n_repeat_words.alias("n")).collect()] == [0, 5]
+
+
+def test_clashing_names(spark):
+    from vaultscope.llm.quality import keep_quality
+
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(70)), "a", 1, 2, 3)], "doc_id long, text string, source string, failed int, bad_host int, __host int")
+    out = keep_quality(docs)
+    assert out.columns == docs.columns and [tuple(r)[3:] for r in out.collect()] == [(1, 2, 3)]

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import table, unused
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -34,7 +34,8 @@ def _repeated(words: Column) -> Column:
 
     Each window becomes one long: its hash, with the low bits (as many as the
     text's length needs) replaced by its position.  Sorted, equal windows are
-    neighbours, whatever the length, without comparing all pairs.
+    neighbours, whatever the length, without comparing all pairs; neighbours with
+    one hash count as equal where their words are.
     """
     shift = lambda kind, x, n: F.call_function(f"shift{kind}", x, n)
     one = F.lit(1).cast("long")
@@ -42,7 +43,9 @@ def _repeated(words: Column) -> Column:
     def covered(w: Column, n: Column, bits: Column) -> Column:
         window = lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
         mark = lambda i: shift("left", shift("right", window(i), bits), bits).bitwiseOR(i.cast("long"))
-        same = lambda x, y: shift("right", x, bits) == shift("right", y, bits)
+        at = lambda x: x.bitwiseAND(shift("left", one, bits) - one).cast("int")
+        equal = lambda p, q: (F.get(w, p) == F.get(w, q)) & (F.get(w, p + 1) == F.get(w, q + 1)) & (F.get(w, p + 2) == F.get(w, q + 2))
+        same = lambda x, y: (shift("right", x, bits) == shift("right", y, bits)) & equal(at(x), at(y))
         twice = lambda s: F.filter(s, lambda x, j: same(x, F.get(s, j - 1)) | same(x, F.get(s, j + 1)))
         place = lambda x: _let(x.bitwiseAND(shift("left", one, bits) - one), lambda p: F.array(p, p + 1, p + 2))
         marks = F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), mark))
@@ -119,8 +122,10 @@ def quality_rules(
 def keep_quality(
     docs: DataFrame, limit: float = HOST_LIMIT, text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns; texts are measured in place and not moved."""
-    failed = measures(F.col(text_col)).base_failed
-    bad = table(rejected_hosts(docs.select(F.col(host_col).cast("string").alias("host"), failed.alias("base_failed")), limit))
-    bad = bad.select(F.col("host").alias("__host"))
-    return docs.where(~failed).join(bad, F.col(host_col).cast("string").eqNullSafe(F.col("__host")), "left_anti")
+    """The rows of ``docs`` that the rules keep, with their columns; texts are not shuffled."""
+    failed, host, bad = unused(docs, "failed"), F.col(host_col).cast("string"), unused(docs, "bad_host")
+    # measured once: the flag is written with the rows, and hosts are judged on what was written
+    judged = table(docs.withColumn(failed, measures(F.col(text_col)).base_failed))
+    hosts = table(rejected_hosts(judged.select(host.alias("host"), F.col(failed).alias("base_failed")), limit))
+    kept = judged.where(~F.col(failed)).join(hosts.select(F.col("host").alias(bad)), host.eqNullSafe(F.col(bad)), "left_anti")
+    return kept.select(*docs.columns)
