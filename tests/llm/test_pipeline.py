@@ -104,7 +104,8 @@ def test_empty_and_odd_documents(spark):
     odd = [(None, good + " a", None, None, None), (1, None, "en", "a", 0), (2, "", "en", None, 0), (3, good, None, "a", 5), (3, good, None, "a", 5)]
     for data in ([], odd):
         docs = spark.createDataFrame(data, schema)
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             docs = table(stage(spark, docs, PATH))
-        assert {r.doc_id for r in docs.collect()} <= {None, 3}
-        assert docs.count() >= (3 if data else 0)
+            if name == "near_dedup":  # repeated rows and a null id are near-duplicates like others: one row stays
+                assert [r.doc_id for r in docs.collect()] == ([3] if data else [])
+        assert {r.doc_id for r in docs.collect()} == ({3} if data else set())
