@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vaultscope.llm import bpe
 from vaultscope.llm.linededup import without_shared_lines
 from vaultscope.llm.mixing import mixed_documents
-from vaultscope.llm.neardup import near_duplicates
+from vaultscope.llm.neardup import one_of_each_group
 from vaultscope.llm.quality import keep_quality
 from vaultscope.llm.shared import table
 from vaultscope.session import configure
@@ -33,8 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, 0.8) stays."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    return one_of_each_group(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
